@@ -20,17 +20,22 @@ def blank_to_null(text: str) -> str:
     return f"nullif({text}, '')"
 
 
+def _is_plain_number(text: str) -> str:
+    return rf"{text} RLIKE '^[-+0-9.eE\\s]+$'"
+
+
 def to_double(text: str) -> str:
     """Plain decimal or exponent notation; anything else, and infinities, become NULL."""
     number = f"try_cast({text} AS DOUBLE)"
-    plain = rf"{text} RLIKE '^[-+0-9.eE\\s]+$'"
-    return f"CASE WHEN {plain} AND abs({number}) < double('Infinity') THEN {number} END"
+    finite = f"abs({number}) < double('Infinity')"
+    return f"CASE WHEN {_is_plain_number(text)} AND {finite} THEN {number} END"
 
 
 def to_long(text: str, dtype: str = "BIGINT") -> str:
     """Integers, and decimal or exponent notation rounded half away from zero."""
     rounded = f"round(try_cast({text} AS DECIMAL(38, 10)), 0)"
-    return f"coalesce(try_cast({text} AS {dtype}), try_cast({rounded} AS {dtype}))"
+    slow = f"CASE WHEN {_is_plain_number(text)} THEN try_cast({rounded} AS {dtype}) END"
+    return f"coalesce(try_cast({text} AS {dtype}), {slow})"
 
 
 def to_int(text: str) -> str:

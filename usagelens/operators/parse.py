@@ -16,25 +16,31 @@ from usagelens.functions.casts import blank_to_null, to_long
 from usagelens.schemas import ATTRIBUTE_KEYS, BATCH, EVENT, STAGING_COLUMNS, struct
 from usagelens.sources.logs import clean_lines
 
-def _one_object(text: str, schema: T.StructType) -> str:
-    """Exactly one JSON object in an array of one, or something else for malformed text.
+def _decode(text: str, schema: T.StructType) -> str:
+    """Column __p: an array of the one JSON object in `text`, or something else if malformed.
 
     The JSON reader stops after the first value and would accept `{...} garbage`. Inside an array
     it has to read on, so anything after the object makes the array malformed or longer.
+
+    The explode of one value keeps a row a row. It is there because filters are not pushed through
+    it: through a plain projection they would be, and decode the text once more per filter.
     """
-    return (
+    decoded = (
         f"from_json(concat('[', {text}, ']'), 'ARRAY<{schema.simpleString()}>', "
         "map('allowSingleQuotes', 'false'))"
     )
+    return f"explode(array({decoded})) AS __p"
 
 
 def _is_single(parsed: str, text: str) -> str:
-    return f"coalesce(size({parsed}) = 1 AND endswith(btrim({text}), '}}'), false)"
+    # the last test rules out `{...}] ...`, which would close the array early
+    closed = rf"(endswith({text}, '}}') OR {text} RLIKE '}}\\s*$')"
+    return f"coalesce(size({parsed}) = 1 AND {closed}, false)"
 
 
 def parse_batch(lines: DataFrame) -> DataFrame:
     """Decode each line into `batch`; undecodable lines get a reason instead."""
-    parsed = lines.selectExpr("value", f"{_one_object('value', BATCH)} AS __p")
+    parsed = lines.selectExpr("value", _decode("value", BATCH))
     ok = _is_single("__p", "value")
     return parsed.selectExpr(
         "value",
@@ -76,7 +82,7 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
         "batch_error",
         "event",
         f"{blank_to_null('event.timestamp')} AS time_text",
-        f"{_one_object(text, _message_schema(extra_attributes))} AS __p",
+        _decode(text, _message_schema(extra_attributes)),
     )
     ok = _is_single("__p", text)
     judged = parsed.selectExpr(

@@ -11,12 +11,18 @@ from usagelens.session import configure
 from usagelens.sources import employees, logs, star
 
 
-def load_star(spark: SparkSession, logs_path: str, employees_path: str, root: str) -> str:
+def load_star(
+    spark: SparkSession,
+    logs_path: str,
+    employees_path: str,
+    root: str,
+    partition_by: tuple[str, ...] = star.DAILY,
+) -> str:
     """Full, repeatable rebuild; returns the version written. The log text is read once."""
     configure(spark)
     dim = quality.require_unique_dim(employees.read_employees(spark, employees_path))
     parsed = parse.parse_lines(logs.read_log_batches(spark, logs_path))
-    return star.write_star(dim, facts.typed_events(parsed), root)
+    return star.write_star(dim, facts.typed_events(parsed), root, partition_by)
 
 
 def load_report(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:

@@ -109,7 +109,11 @@ def _(spark, sf):
 def _load(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "star")
     ingest.load_star(
-        spark, sample_data.raw_files(spark, sf), sample_data.employee_files(spark, sf), root
+        spark,
+        sample_data.raw_files(spark, sf),
+        sample_data.employee_files(spark, sf),
+        root,
+        star.BY_TABLE,
     )
     return root
 
@@ -798,7 +802,9 @@ on_star(
 def _(spark, sf):
     root = scratch_path(spark, "stream")
     lines = stream.stream_lines(spark, sample_data.raw_files(spark, sf))
-    run = stream.stream_ingest(lines, star.events_path(root, "live"), f"{root}/checkpoint")
+    run = stream.stream_ingest(
+        lines, star.events_path(root, "live"), f"{root}/checkpoint", star.BY_TABLE
+    )
     run.awaitTermination()
     return ingest.load_report(spark, root, "live")
 
@@ -815,8 +821,8 @@ def _(spark, sf):
     # the even events first, then all of them: the second delivery repeats half of its ids
     path = f"{scratch_path(spark, 'upsert')}/events"
     everything = facts.typed_events(_parsed(spark, sf)).filter(F.col("stage").isNull())
-    upsert.incremental_upsert(everything.filter("event_id % 2 = 0"), path)
-    upsert.incremental_upsert(everything, path)
+    upsert.incremental_upsert(everything.filter("event_id % 2 = 0"), path, star.BY_TABLE)
+    upsert.incremental_upsert(everything, path, star.BY_TABLE)
     loaded = star.read_events(spark, path)
     return loaded.groupBy("event_kind").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("event_id").alias("ids")

@@ -7,7 +7,9 @@ some costs and messages are broken on purpose.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.operators import facts, parse
@@ -24,7 +26,7 @@ KIND_OF_EVENT_TYPE = {
 OTHER_KIND = "user_prompt"
 
 # In the raw form, every 101st message is cut off and every 1000th event adds a line of junk.
-BROKEN_MESSAGE = "event_id % 101 = 0"
+BROKEN_MESSAGE = "CAST(id AS BIGINT) % 101 = 0"
 JUNK_LINE = "event_id % 1000 = 0"
 
 
@@ -48,80 +50,71 @@ def dim_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_event_type(values: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{t}' THEN '{values[k]}'" for t, k in KIND_OF_EVENT_TYPE.items())
+    return f"CASE event_type {whens} ELSE '{values[OTHER_KIND]}' END"
+
+
 def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging columns, computed straight from the event rows (no JSON in between)."""
-    kind = F.when(F.lit(False), "")
-    for event_type, name in KIND_OF_EVENT_TYPE.items():
-        kind = kind.when(F.col("event_type") == event_type, name)
-    body = F.when(F.lit(False), "")
-    for event_type, name in KIND_OF_EVENT_TYPE.items():
-        body = body.when(F.col("event_type") == event_type, BODIES[name])
     status = (
         "CASE event_id % 7 WHEN 0 THEN '429' WHEN 1 THEN '400' WHEN 2 THEN '500' "
         "WHEN 3 THEN '401' ELSE 'undefined' END"
     )
-    return (
-        table(spark, sf_dir, "events")
-        .withColumns(
-            {
-                "event_name": kind.otherwise(OTHER_KIND),
-                "body": body.otherwise(BODIES[OTHER_KIND]),
-            }
-        )
-        .selectExpr(
-            "CAST(event_id AS STRING) AS event_id",
-            "unix_millis(CAST(ts AS TIMESTAMP)) AS epoch_ms",
-            "body",
-            "concat('s', user_id, '-', CAST(ts AS DATE)) AS session_id",
-            "CASE WHEN event_id % 89 <> 0 THEN concat('user', user_id, '@example.com') END"
-            " AS user_email",
-            "event_name",
-            "CASE WHEN event_id % 61 <> 0 THEN concat('model-', event_id % 5) END AS model",
-            "CASE WHEN event_id % 97 = 0 THEN 'not_a_number' ELSE CAST(value AS STRING) END"
-            " AS cost_usd",
-            "CAST(CAST(ROUND(value * 100) AS BIGINT) AS STRING) AS duration_ms",
-            "CAST(event_id % 900 AS STRING) AS input_tokens",
-            "CAST(event_id % 450 + 1 AS STRING) AS output_tokens",
-            "CAST(event_id * 37 % 90000 AS STRING) AS cache_read_tokens",
-            "CAST(event_id * 13 % 6000 AS STRING) AS cache_creation_tokens",
-            "CASE WHEN event_type = 'click' AND event_id % 50 = 3 THEN 'reject'"
-            " WHEN event_type IN ('click', 'purchase') THEN 'accept' END AS decision",
-            "CASE WHEN event_type IN ('click', 'purchase') THEN 'config' END AS decision_source",
-            "concat('tool-', event_id % 6) AS tool_name",
-            "CASE WHEN event_id % 15 = 0 THEN 'false' ELSE 'true' END AS success",
-            f"concat('err-', {status}) AS error_message",
-            f"{status} AS status_code",
-            "CAST(CAST(ROUND(value * 10) AS BIGINT) AS STRING) AS prompt_length",
-        )
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS epoch_ms",
+        f"{_by_event_type(BODIES)} AS body",
+        "concat('s', user_id, '-', CAST(ts AS DATE)) AS session_id",
+        "CASE WHEN event_id % 89 <> 0 THEN concat('user', user_id, '@example.com') END"
+        " AS user_email",
+        f"{_by_event_type({kind: kind for kind in BODIES})} AS event_name",
+        "CASE WHEN event_id % 61 <> 0 THEN concat('model-', event_id % 5) END AS model",
+        "CASE WHEN event_id % 97 = 0 THEN 'not_a_number' ELSE CAST(value AS STRING) END"
+        " AS cost_usd",
+        "CAST(CAST(ROUND(value * 100) AS BIGINT) AS STRING) AS duration_ms",
+        "CAST(event_id % 900 AS STRING) AS input_tokens",
+        "CAST(event_id % 450 + 1 AS STRING) AS output_tokens",
+        "CAST(event_id * 37 % 90000 AS STRING) AS cache_read_tokens",
+        "CAST(event_id * 13 % 6000 AS STRING) AS cache_creation_tokens",
+        "CASE WHEN event_type = 'click' AND event_id % 50 = 3 THEN 'reject'"
+        " WHEN event_type IN ('click', 'purchase') THEN 'accept' END AS decision",
+        "CASE WHEN event_type IN ('click', 'purchase') THEN 'config' END AS decision_source",
+        "concat('tool-', event_id % 6) AS tool_name",
+        "CASE WHEN event_id % 15 = 0 THEN 'false' ELSE 'true' END AS success",
+        f"concat('err-', {status}) AS error_message",
+        f"{status} AS status_code",
+        "CAST(CAST(ROUND(value * 10) AS BIGINT) AS STRING) AS prompt_length",
     )
 
 
+@lru_cache(maxsize=8)
 def sample_star(spark: SparkSession, sf_dir: str) -> Star:
     return facts.build_star(dim_employees(spark, sf_dir), staged_events(spark, sf_dir))
 
 
-def _message() -> Column:
+def _message() -> str:
     """The JSON text of one event; tool results spell their decision keys differently."""
-    is_result = F.col("event_name") == "tool_result"
     pairs = []
     for name, keys in ATTRIBUTE_KEYS.items():
         if len(keys) == 1:
-            pairs.append(F.col(name).alias(keys[0]))
+            pairs.append(f"'{keys[0]}', {name}")
         else:
-            pairs.append(F.when(~is_result, F.col(name)).alias(keys[0]))
-            pairs.append(F.when(is_result, F.col(name)).alias(keys[1]))
-    return F.to_json(F.struct("body", F.struct(*pairs).alias("attributes")))
+            pairs.append(f"'{keys[0]}', CASE WHEN event_name <> 'tool_result' THEN {name} END")
+            pairs.append(f"'{keys[1]}', CASE WHEN event_name = 'tool_result' THEN {name} END")
+    attributes = f"named_struct({', '.join(pairs)})"
+    return f"to_json(named_struct('body', body, 'attributes', {attributes}))"
 
 
 def messages(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
     """(id, timestamp, message) per event; `broken` cuts the end off some messages."""
-    text = _message()
-    if broken:
-        cut = F.left(text, F.length(text) - 5)
-        text = F.when(F.expr(BROKEN_MESSAGE), cut).otherwise(text)
-    return staged_events(spark, sf_dir).select(
-        F.col("event_id").alias("id"), F.col("epoch_ms").alias("timestamp"), text.alias("message")
+    events = staged_events(spark, sf_dir).selectExpr(
+        "event_id AS id", "epoch_ms AS timestamp", f"{_message()} AS message"
     )
+    if not broken:
+        return events
+    cut = f"CASE WHEN {BROKEN_MESSAGE} THEN left(message, length(message) - 5) ELSE message END"
+    return events.selectExpr("id", "timestamp", f"{cut} AS message")
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

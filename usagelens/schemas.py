@@ -70,17 +70,8 @@ def struct(**columns: str | T.DataType) -> T.StructType:
 
 # Timestamps are read as text so that one bad value costs one event, not its whole batch.
 EVENT = struct(id="string", timestamp="string", message="string")
-BATCH = struct(
-    messageType="string",
-    owner="string",
-    logGroup="string",
-    logStream="string",
-    subscriptionFilters=T.ArrayType(T.StringType()),
-    logEvents=T.ArrayType(EVENT),
-    year="int",
-    month="int",
-    day="int",
-)
+# The rest of a batch (owner, log group, date parts, ...) is not read.
+BATCH = struct(logEvents=T.ArrayType(EVENT))
 
 CONTRACT = {
     "dim_employees": struct(

@@ -2,7 +2,7 @@
 
     <root>/commits/                          one row per finished load
     <root>/versions/<v>/dim_employees/
-    <root>/versions/<v>/events/table=<t>/event_date=<d>/
+    <root>/versions/<v>/events/table=<t>/event_date=<d>/    (or without the day level)
 
 All event tables share one directory tree and are written by one job. A load becomes visible with
 its row in `commits`, written last, so readers never see half of one.
@@ -28,7 +28,9 @@ from usagelens.schemas import (
     struct,
 )
 
-PARTITIONS = ["table", "event_date"]
+DAILY = ("table", "event_date")
+# for volumes where a day would make a tiny file
+BY_TABLE = ("table",)
 COMMIT = struct(version="string")
 
 
@@ -36,26 +38,26 @@ def events_path(root: str, version: str) -> str:
     return f"{root}/versions/{version}/events"
 
 
-def write_events(events: DataFrame, path: str, mode: str) -> None:
-    """Write typed events partitioned by table and day.
+def write_events(
+    events: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = DAILY
+) -> None:
+    """Write typed events into one directory per table (and day).
 
     The rebalance hint lets adaptive execution cut large partitions and join small ones, so a hot
     day or table is spread over tasks and files come out at a sensible size.
     """
-    (
-        events.hint("rebalance", *PARTITIONS)
-        .write.mode(mode)
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    balanced = events.hint("rebalance", *partition_by)
+    balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def write_star(dim: DataFrame, events: DataFrame, root: str) -> str:
+def write_star(
+    dim: DataFrame, events: DataFrame, root: str, partition_by: tuple[str, ...] = DAILY
+) -> str:
     """Full rebuild from typed events; returns the new version."""
     spark = dim.sparkSession
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     dim.write.mode("overwrite").parquet(f"{root}/versions/{version}/dim_employees")
-    write_events(events, events_path(root, version), "overwrite")
+    write_events(events, events_path(root, version), "overwrite", partition_by)
     commit = spark.createDataFrame([(version,)], COMMIT).coalesce(1)
     commit.write.mode("append").parquet(f"{root}/commits")
     return version

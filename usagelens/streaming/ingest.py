@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators import facts, parse
-from usagelens.sources.star import PARTITIONS
+from usagelens.sources.star import DAILY
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -21,7 +21,13 @@ def stream_events(lines: DataFrame) -> DataFrame:
     return facts.typed_events(parse.parse_lines(lines))
 
 
-def stream_ingest(lines: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
+def stream_ingest(
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    partition_by: tuple[str, ...] = DAILY,
+    **trigger,
+) -> StreamingQuery:
     """Append typed events to the partitioned event tree, exactly once.
 
     Stateless: nothing is shuffled and no event is dropped for being late. Read the result from
@@ -31,7 +37,7 @@ def stream_ingest(lines: DataFrame, out: str, checkpoint: str, **trigger) -> Str
         stream_events(lines)
         .writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*partition_by)
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators import facts, parse
 from usagelens.session import scratch_path
-from usagelens.sources.star import read_events, write_events
+from usagelens.sources.star import DAILY, read_events, write_events
 
 
 def one_per_id(events: DataFrame) -> DataFrame:
@@ -49,7 +49,9 @@ def _touched_days(loaded: DataFrame, delta: DataFrame) -> DataFrame:
     return loaded.filter(keep)
 
 
-def incremental_upsert(delta: DataFrame, path: str) -> None:
+def incremental_upsert(
+    delta: DataFrame, path: str, partition_by: tuple[str, ...] = DAILY
+) -> None:
     """Append the unseen events of `delta` (typed events) to the tree at `path`.
 
     Running it again with the same delta adds nothing but rejected events that carry no id.
@@ -66,14 +68,20 @@ def incremental_upsert(delta: DataFrame, path: str) -> None:
         fresh = one_per_id(delta)
     else:
         fresh = new_events(delta, _touched_days(loaded, delta))
-    write_events(fresh, path, "append")
+    write_events(fresh, path, "append", partition_by)
 
 
-def stream_upsert(lines: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def stream_upsert(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: tuple[str, ...] = DAILY,
+    **trigger,
+) -> StreamingQuery:
     """Micro-batch upsert. Exact however late a repeat arrives, and a retried batch adds nothing."""
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        incremental_upsert(facts.typed_events(parse.parse_lines(batch)), path)
+        incremental_upsert(facts.typed_events(parse.parse_lines(batch)), path, partition_by)
 
     return (
         lines.writeStream.foreachBatch(apply)
