@@ -17,16 +17,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_small(
-    big: DataFrame, small: DataFrame, on: Column, how: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join a settled aggregate: broadcast if its counted size allows, else shuffle.
+def hint_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a join side for broadcast if its counted size allows.
 
-    The shuffled form relies on adaptive skew-join splitting for hot keys of `big`.
+    Beyond that it is shuffled like any other table, and adaptive execution splits hot keys of the
+    other side. Counting is a job of its own, so `side` should be settled or a small scan.
     """
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
 
 
 def rollup_by_employee(

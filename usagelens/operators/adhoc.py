@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.functions.joins import hint_if_small
 from usagelens.operators import quality
 from usagelens.schemas import FACT_TABLES, QueryError, Star
 
@@ -55,13 +56,11 @@ def to_json_rows(df: DataFrame) -> DataFrame:
 def practice_view(star: Star, practice: str) -> Star:
     """The star restricted to one practice's employees.
 
-    No hint: Spark broadcasts the members only if they are measured to be small, and otherwise
-    splits hot users when joining.
+    The members are counted first, which decides whether they may be broadcast to the facts.
     """
     members = star.dim_employees.filter(F.col("practice") == practice)
     emails = members.select(F.col("email").alias("__member"))
-    facts = {
-        name: star.table(name).join(emails, F.col("user_email") == F.col("__member"), "left_semi")
-        for name in FACT_TABLES
-    }
+    emails = hint_if_small(emails)
+    is_member = F.col("user_email") == F.col("__member")
+    facts = {name: star.table(name).join(emails, is_member, "left_semi") for name in FACT_TABLES}
     return Star(dim_employees=members, **facts)

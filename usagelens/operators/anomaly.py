@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import exact_total, round_to, utc_text
-from usagelens.functions.joins import join_small, settle
+from usagelens.functions.joins import hint_if_small, settle
 from usagelens.functions.quantiles import quantiles, value_counts
 from usagelens.operators import metrics
 from usagelens.schemas import Star
@@ -67,9 +67,9 @@ def latency_anomalies(
     The limits are computed first (a few rows, one per tool): their counted size decides whether
     they may be broadcast to the facts.
     """
-    limits = settle(latency_bounds(star, iqr_multiplier))
+    limits = hint_if_small(settle(latency_bounds(star, iqr_multiplier)))
     calls = star.fact_tool_usage.filter(F.col("duration_ms") > 0)
-    over = join_small(calls, limits, F.col("tool_name") == F.col("__tool"), "inner").filter(
+    over = calls.join(limits, F.col("tool_name") == F.col("__tool")).filter(
         F.col("duration_ms") > F.col("__limit")
     )
     order = [

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import percent
-from usagelens.functions.joins import join_small, settle
+from usagelens.functions.joins import hint_if_small, settle
 from usagelens.functions.quantiles import histogram, quantiles, value_counts, weighted_mean
 from usagelens.operators import metrics
 from usagelens.schemas import Star
@@ -74,7 +74,7 @@ def latency_box_stats(star: Star, multiplier: float = 1.5) -> DataFrame:
         (F.col("q3_ms") + reach).alias("high"),
     )
     same_tool = F.col("tool_name").eqNullSafe(F.col("tool"))
-    placed = join_small(counts, settle(boxes), same_tool, "inner")
+    placed = counts.join(hint_if_small(settle(boxes)), same_tool)
     within = F.col("duration_ms").between(F.col("low"), F.col("high"))
     return (
         placed.groupBy("tool_name", *BOX)

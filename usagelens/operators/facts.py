@@ -40,44 +40,58 @@ def safe_cast(name: str) -> str:
     return name
 
 
-def _of_kind(stg: DataFrame, kind: str, **fixed: str) -> DataFrame:
-    """The rows of one kind in the columns of its table; `fixed` replaces single columns."""
-    columns = CONTRACT[TABLE_OF_KIND[kind]].fieldNames()
-    return stg.filter(F.col("body") == BODIES[kind]).selectExpr(
-        *[f"{fixed.get(name, safe_cast(name))} AS {name}" for name in columns]
-    )
+def _select(rows: DataFrame, table: str, **fixed: str) -> DataFrame:
+    """Rows in the columns of `table`; `fixed` replaces or adds single columns."""
+    columns = {name: safe_cast(name) for name in CONTRACT[table].fieldNames()} | fixed
+    return rows.selectExpr(*[f"{value} AS {name}" for name, value in columns.items()])
+
+
+def _of_kinds(stg: DataFrame, *kinds: str) -> DataFrame:
+    return stg.filter(F.col("body").isin([BODIES[kind] for kind in kinds]))
 
 
 def fact_api_requests(stg: DataFrame) -> DataFrame:
-    return _of_kind(stg, "api_request")
+    return _select(_of_kinds(stg, "api_request"), "fact_api_requests")
 
 
 def tool_decisions(stg: DataFrame) -> DataFrame:
-    rows = _of_kind(
-        stg,
-        "tool_decision",
+    return _select(
+        _of_kinds(stg, "tool_decision"),
+        "fact_tool_usage",
         is_success="CAST(NULL AS BOOLEAN)",
         duration_ms="CAST(NULL AS BIGINT)",
+        event_kind="'tool_decision'",
     )
-    return rows.withColumn("event_kind", F.lit("tool_decision"))
 
 
 def tool_results(stg: DataFrame) -> DataFrame:
     """Results keep their decision columns, as decisions do."""
-    return _of_kind(stg, "tool_result").withColumn("event_kind", F.lit("tool_result"))
+    return _select(
+        _of_kinds(stg, "tool_result"), "fact_tool_usage", event_kind="'tool_result'"
+    )
 
 
 def fact_tool_usage(stg: DataFrame) -> DataFrame:
-    """Decisions and results in one table; event_kind tells them apart beyond the contract."""
-    return tool_decisions(stg).unionByName(tool_results(stg))
+    """Decisions and results in one table, from one scan.
+
+    event_kind tells them apart; it is not part of the contract.
+    """
+    is_result = f"body = '{BODIES['tool_result']}'"
+    return _select(
+        _of_kinds(stg, "tool_decision", "tool_result"),
+        "fact_tool_usage",
+        is_success=f"CASE WHEN {is_result} THEN {safe_cast('is_success')} END",
+        duration_ms=f"CASE WHEN {is_result} THEN {safe_cast('duration_ms')} END",
+        event_kind=f"CASE WHEN {is_result} THEN 'tool_result' ELSE 'tool_decision' END",
+    )
 
 
 def fact_api_errors(stg: DataFrame) -> DataFrame:
-    return _of_kind(stg, "api_error")
+    return _select(_of_kinds(stg, "api_error"), "fact_api_errors")
 
 
 def fact_user_prompts(stg: DataFrame) -> DataFrame:
-    return _of_kind(stg, "user_prompt")
+    return _select(_of_kinds(stg, "user_prompt"), "fact_user_prompts")
 
 
 def build_star(dim: DataFrame, stg: DataFrame) -> Star:

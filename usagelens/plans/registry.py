@@ -242,7 +242,7 @@ for _name, _column in {"alias_decision": "decision", "alias_source": "decision_s
     ),
 )
 def _(spark, sf):
-    return sample_data.staged_events(spark, sf).selectExpr(
+    return sample_data.staged_events(sample_data.events(spark, sf)).selectExpr(
         "event_id",
         f"{facts.safe_cast('cost_usd')} AS cost_usd",
         f"{facts.to_long('cost_usd')} AS cost_rounded",
@@ -258,7 +258,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    flags = sample_data.staged_events(spark, sf).selectExpr(
+    flags = sample_data.staged_events(sample_data.events(spark, sf)).selectExpr(
         f"{facts.safe_cast('is_success')} AS is_success"
     )
     return flags.groupBy("is_success").agg(F.count(F.lit(1)).alias("row_count"))
@@ -358,7 +358,7 @@ on_star("row_counts", quality.row_counts, over(_ROW_COUNTS))
     "event_counts_by_body", over("SELECT body, count(*) AS event_count FROM stg GROUP BY body")
 )
 def _(spark, sf):
-    return quality.event_counts_by_body(sample_data.staged_events(spark, sf))
+    return quality.event_counts_by_body(sample_data.staged_events(sample_data.events(spark, sf)))
 
 
 @query(
@@ -371,7 +371,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return quality.event_totals(sample_data.staged_events(spark, sf))
+    return quality.event_totals(sample_data.staged_events(sample_data.events(spark, sf)))
 
 
 @query(
@@ -380,7 +380,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # the sample's own event types are no known bodies, so all of them must turn up
-    bare = sample_data.table(spark, sf, "events").select(F.col("event_type").alias("body"))
+    bare = sample_data.events(spark, sf).select(F.col("event_type").alias("body"))
     return quality.unknown_body_counts(bare)
 
 

@@ -55,13 +55,25 @@ def _by_event_type(values: dict[str, str]) -> str:
     return f"CASE event_type {whens} ELSE '{values[OTHER_KIND]}' END"
 
 
-def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """Event rows, of some kinds only if given; that filter reaches the scan."""
+    rows = table(spark, sf_dir, "events")
+    if not kinds:
+        return rows
+    wanted = F.col("event_type").isin([t for t, k in KIND_OF_EVENT_TYPE.items() if k in kinds])
+    if OTHER_KIND in kinds:
+        other = ~F.col("event_type").isin(list(KIND_OF_EVENT_TYPE))
+        wanted = wanted | other | F.col("event_type").isNull()
+    return rows.filter(wanted)
+
+
+def staged_events(rows: DataFrame) -> DataFrame:
     """The staging columns, computed straight from the event rows (no JSON in between)."""
     status = (
         "CASE event_id % 7 WHEN 0 THEN '429' WHEN 1 THEN '400' WHEN 2 THEN '500' "
         "WHEN 3 THEN '401' ELSE 'undefined' END"
     )
-    return table(spark, sf_dir, "events").selectExpr(
+    return rows.selectExpr(
         "CAST(event_id AS STRING) AS event_id",
         "unix_millis(CAST(ts AS TIMESTAMP)) AS epoch_ms",
         f"{_by_event_type(BODIES)} AS body",
@@ -90,7 +102,25 @@ def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @lru_cache(maxsize=8)
 def sample_star(spark: SparkSession, sf_dir: str) -> Star:
-    return facts.build_star(dim_employees(spark, sf_dir), staged_events(spark, sf_dir))
+    def staged(*kinds: str) -> DataFrame:
+        return staged_events(events(spark, sf_dir, *kinds))
+
+    return Star(
+        dim_employees=dim_employees(spark, sf_dir),
+        fact_api_requests=facts.fact_api_requests(staged("api_request")),
+        fact_tool_usage=facts.fact_tool_usage(staged("tool_decision", "tool_result")),
+        fact_api_errors=facts.fact_api_errors(staged("api_error")),
+        fact_user_prompts=facts.fact_user_prompts(staged("user_prompt")),
+    )
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Give every core a share of a small file; large inputs come in enough splits already.
+
+    The text built from a row is many times its size, so this is done before it is built.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _message() -> str:
@@ -108,19 +138,19 @@ def _message() -> str:
 
 def messages(spark: SparkSession, sf_dir: str, broken: bool = True) -> DataFrame:
     """(id, timestamp, message) per event; `broken` cuts the end off some messages."""
-    events = staged_events(spark, sf_dir).selectExpr(
+    whole = staged_events(_spread(events(spark, sf_dir))).selectExpr(
         "event_id AS id", "epoch_ms AS timestamp", f"{_message()} AS message"
     )
     if not broken:
-        return events
+        return whole
     cut = f"CASE WHEN {BROKEN_MESSAGE} THEN left(message, length(message) - 5) ELSE message END"
-    return events.selectExpr("id", "timestamp", f"{cut} AS message")
+    return whole.selectExpr("id", "timestamp", f"{cut} AS message")
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log batch lines with some broken messages, junk lines and blank lines among them."""
     good = logs.to_log_batches(messages(spark, sf_dir))
-    junk = table(spark, sf_dir, "events").filter(JUNK_LINE)
+    junk = events(spark, sf_dir).filter(JUNK_LINE)
     lines = F.explode(F.array(F.lit("not json"), F.lit("   "), F.lit("")))
     return good.unionByName(junk.select(lines.alias("value")))
 

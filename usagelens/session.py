@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split hot join keys even where the next step could have reused the join's partitioning
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # the JVM never compiles methods above this size; Spark then splits the projection instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
