@@ -6,6 +6,7 @@ on the map side, so a hot group or a hot value shrinks before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,17 +20,11 @@ def value_counts(rows: DataFrame, keys: list[str], value: str, *extra: Column) -
     return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), *extra)
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """NULL-safe equality on `names`; the right side carries them with an r_ prefix."""
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[f"r_{k}"]) for k in names], F.lit(True)
-    )
-
-
-def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join where NULL keys match each other, as they do in GROUP BY."""
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join where NULL keys match each other, as they do in GROUP BY."""
     renamed = right.withColumnsRenamed({k: f"r_{k}" for k in keys})
-    return left.join(renamed, _same(left, renamed, keys), how).drop(*[f"r_{k}" for k in keys])
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"r_{k}"]) for k in keys])
+    return left.join(renamed, same).drop(*[f"r_{k}" for k in keys])
 
 
 def _bucket(value: Column) -> Column:
@@ -38,72 +33,94 @@ def _bucket(value: Column) -> Column:
     return (F.signum(v) * F.floor(F.log1p(F.abs(v)) * BUCKETS_PER_E)).cast("bigint")
 
 
+# An aggregate that can be taken in steps: a function (sum, max, ...) and what it is applied to.
+Carried = tuple[Callable[[Column | str], Column], Column]
+
+
 def quantiles(
-    counts: DataFrame, keys: list[str], value: str, probs: dict[str, float]
+    counts: DataFrame,
+    keys: list[str],
+    value: str,
+    probs: dict[str, float],
+    carry: dict[str, Carried] | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per entry of `probs`.
 
     Ranks are located in two steps: a running count over the bounded number of buckets says which
     buckets hold the wanted ranks, then only those buckets are ordered value by value.
+
+    `carry` adds other aggregates over the value counts; they ride along instead of being computed
+    apart and joined. With it a group without any value stays, with NULL quantiles; without it such
+    a group has nothing to report and is left out.
     """
-    if not keys:
-        counts, keys, drop = counts.withColumn("__all", F.lit(0)), ["__all"], True
-    else:
-        drop = False
-    counts = counts.select(*keys, value, "n").filter(F.col(value).isNotNull())
+    carry = carry or {}
+    constant = ["__all"] if not keys else []
+    if constant:
+        counts, keys = counts.withColumn("__all", F.lit(0)), constant
     counts = counts.withColumn("__b", _bucket(F.col(value)))
 
-    per_bucket = counts.groupBy(*keys, "__b").agg(F.sum("n").alias("__bn"))
+    has_value = F.col(value).isNotNull()
+    per_bucket = counts.groupBy(*keys, "__b").agg(
+        F.coalesce(F.sum(F.when(has_value, F.col("n"))), F.lit(0)).alias("__bn"),
+        *[fn(column).alias(name) for name, (fn, column) in carry.items()],
+    )
     group = Window.partitionBy(*keys)
     running = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = per_bucket.withColumns(
-        {
-            "__total": F.sum("__bn").over(group),
-            "__below": F.sum("__bn").over(running) - F.col("__bn"),
-        }
+    ranked = per_bucket.select(
+        *keys,
+        "__b",
+        F.sum("__bn").over(group).alias("__total"),
+        F.sum("__bn").over(running).alias("__upto"),
+        (F.sum("__bn").over(running) - F.col("__bn")).alias("__below"),
+        *[fn(name).over(group).alias(name) for name, (fn, _) in carry.items()],
     )
 
-    ranks = {name: (F.col("__total") - 1) * F.lit(float(p)) for name, p in probs.items()}
-    edges = [edge for r in ranks.values() for edge in (F.floor(r), F.ceil(r))]
-    above = F.col("__below") + F.col("__bn")
-    holds = reduce(lambda a, b: a | b, [(F.col("__below") <= e) & (e < above) for e in edges])
-    wanted = ranked.filter(holds).drop("__bn")
+    ranks = {name: f"(__total - 1) * {float(p)!r}D" for name, p in probs.items()}
+    holds = " OR ".join(
+        f"(__below <= {edge}({r}) AND {edge}({r}) < __upto)"
+        for r in ranks.values()
+        for edge in ("floor", "ceil")
+    )
+    # a group without values has one bucket, the one of NULL
+    empty = "__total = 0" if carry else "false"
+    wanted = ranked.filter(f"{holds} OR {empty}").drop("__upto")
 
-    inside = join_on_keys(counts, wanted, [*keys, "__b"], "inner")
+    inside = _join_on_keys(counts.select(*keys, "__b", value, "n"), wanted, [*keys, "__b"])
     by_value = (
         Window.partitionBy(*keys, "__b")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     inside = inside.withColumn("__end", F.col("__below") + F.sum("n").over(by_value))
-    start = F.col("__end") - F.col("n")
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < F.col("__end")), F.col(value)))
+    def at(edge: str, rank: str) -> str:
+        position = f"{edge}({rank})"
+        inside_run = f"__end - n <= {position} AND {position} < __end"
+        return f"CAST(max(CASE WHEN {inside_run} THEN {value} END) AS DOUBLE)"
 
     picked = inside.groupBy(*keys).agg(
         F.max("__total").alias("__total"),
-        *[at(F.floor(r)).cast("double").alias(f"__lo_{name}") for name, r in ranks.items()],
-        *[at(F.ceil(r)).cast("double").alias(f"__hi_{name}") for name, r in ranks.items()],
-    )
-    out = picked.select(
-        *keys,
-        *[
-            (
-                F.col(f"__lo_{name}")
-                + (F.col(f"__hi_{name}") - F.col(f"__lo_{name}")) * (r - F.floor(r))
-            ).alias(name)
-            for name, r in ranks.items()
-        ],
+        *[F.expr(at("floor", r)).alias(f"__lo_{name}") for name, r in ranks.items()],
+        *[F.expr(at("ceil", r)).alias(f"__hi_{name}") for name, r in ranks.items()],
+        *[F.max(name).alias(name) for name in carry],
     )
-    return out.drop("__all") if drop else out
+    interpolated = [
+        f"__lo_{name} + (__hi_{name} - __lo_{name}) * ({r} - floor({r})) AS {name}"
+        for name, r in ranks.items()
+    ]
+    return picked.selectExpr(*[k for k in keys if k not in constant], *interpolated, *carry)
 
 
-def weighted_mean(value: str, n: str = "n") -> Column:
-    """Mean of integers from value counts, exact until the final division."""
+def mean_of(value: str) -> dict[str, Carried]:
+    """What `mean` needs: exact sum and number of the integers behind value counts."""
     wide = "decimal(19,0)"
-    total = F.sum(F.col(value).cast(wide) * F.col(n).cast(wide))
-    return total.cast("double") / F.sum(F.when(F.col(value).isNotNull(), F.col(n)))
+    total = F.col(value).cast(wide) * F.col("n").cast(wide)
+    counted = F.when(F.col(value).isNotNull(), F.col("n"))
+    return {"__mean_sum": (F.sum, total), "__mean_n": (F.sum, counted)}
+
+
+def mean() -> Column:
+    return F.col("__mean_sum").cast("double") / F.nullif(F.col("__mean_n"), F.lit(0))
 
 
 def histogram(counts: DataFrame, value: str, max_bins: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import percent
 from usagelens.functions.joins import hint_if_small, settle
-from usagelens.functions.quantiles import histogram, quantiles, value_counts, weighted_mean
+from usagelens.functions.quantiles import histogram, mean, mean_of, quantiles, value_counts
 from usagelens.operators import metrics
 from usagelens.schemas import Star
 
@@ -34,11 +34,12 @@ def _turn_counts(star: Star) -> DataFrame:
 
 
 def prompts_per_session_stats(star: Star) -> DataFrame:
-    counts = _turn_counts(star)
-    mean = counts.agg(weighted_mean("prompt_count").alias("avg_prompts"))
-    median = quantiles(counts, [], "prompt_count", {"median_prompts": 0.5})
-    # one row each; the left join keeps the row when there are no sessions
-    return mean.join(F.broadcast(median), F.lit(True), "left")
+    counts, probs = _turn_counts(star), {"median_prompts": 0.5}
+    stats = quantiles(counts, [], "prompt_count", probs, mean_of("prompt_count"))
+    # at most one row; the aggregate makes it one when there are no sessions
+    return stats.agg(
+        F.max(mean()).alias("avg_prompts"), F.max("median_prompts").alias("median_prompts")
+    )
 
 
 def session_turn_histogram(star: Star, max_bins: int = 30) -> DataFrame:

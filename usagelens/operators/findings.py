@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import exact_total, percent, round_to, to_timestamp
 from usagelens.functions.joins import rollup_by_employee
-from usagelens.functions.quantiles import join_on_keys, quantiles, weighted_mean
+from usagelens.functions.quantiles import mean, mean_of, quantiles
 from usagelens.operators import metrics
 from usagelens.schemas import Star, TelemetryError
 
@@ -77,12 +77,20 @@ def prompt_length_by_level(star: Star) -> DataFrame:
         .groupBy("level_band", "prompt_length")
         .agg(F.sum("n").alias("n"))
     )
-    stats = counts.groupBy("level_band").agg(
-        F.sum("n").alias("prompt_count"),
-        round_to(weighted_mean("prompt_length"), 1).alias("avg_length"),
+    out = quantiles(
+        counts,
+        ["level_band"],
+        "prompt_length",
+        {"p50_length": 0.5, "p90_length": 0.9},
+        {"prompt_count": (F.sum, F.col("n"))} | mean_of("prompt_length"),
     )
-    q = quantiles(counts, ["level_band"], "prompt_length", {"p50_length": 0.5, "p90_length": 0.9})
-    return join_on_keys(stats, q, ["level_band"], "left").orderBy("level_band")
+    return out.select(
+        "level_band",
+        "prompt_count",
+        round_to(mean(), 1).alias("avg_length"),
+        "p50_length",
+        "p90_length",
+    ).orderBy("level_band")
 
 
 def prompts_per_session_by_practice(star: Star) -> DataFrame:

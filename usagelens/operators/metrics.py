@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import TwoLevelTotal, exact_total, percent, round_to
 from usagelens.functions.joins import rollup_by_employee
-from usagelens.functions.quantiles import join_on_keys, quantiles, value_counts, weighted_mean
+from usagelens.functions.quantiles import mean, mean_of, quantiles, value_counts
 from usagelens.schemas import Star, TelemetryError
 
 
@@ -192,72 +192,61 @@ def tool_usage_frequency(star: Star, basis: str = "all") -> DataFrame:
     )
 
 
-def _with_quantiles(
-    counts: DataFrame, key: str, value: str, stats: list[Column], probs: dict[str, float]
-) -> DataFrame:
-    """Per-key statistics and rounded quantiles, both from the same value counts."""
-    summary = counts.groupBy(key).agg(*stats)
-    q = quantiles(counts, [key], value, probs)
-    rounded = q.select(key, *[round_to(F.col(name), 0).alias(name) for name in probs])
-    return join_on_keys(summary, rounded, [key], "left")
-
-
 def tool_success_rates(star: Star) -> DataFrame:
     results = star.fact_tool_usage.filter(F.col("is_success").isNotNull())
     counts = value_counts(
         results, ["tool_name"], "duration_ms", F.count_if(F.col("is_success")).alias("ok")
     )
-    out = _with_quantiles(
-        counts,
-        "tool_name",
-        "duration_ms",
-        [
-            F.sum("n").alias("total_results"),
-            F.sum("ok").alias("success_count"),
-            percent(F.sum("ok"), F.sum("n")).alias("success_rate_pct"),
-            round_to(weighted_mean("duration_ms"), 0).alias("avg_duration_ms"),
-        ],
-        {"p95_duration_ms": 0.95},
+    sums = {"total_results": (F.sum, F.col("n")), "success_count": (F.sum, F.col("ok"))}
+    out = quantiles(
+        counts, ["tool_name"], "duration_ms", {"p95": 0.95}, sums | mean_of("duration_ms")
     )
-    return out.orderBy(F.desc("total_results"), F.asc_nulls_last("tool_name"))
+    return out.select(
+        "tool_name",
+        "total_results",
+        "success_count",
+        percent(F.col("success_count"), F.col("total_results")).alias("success_rate_pct"),
+        round_to(mean(), 0).alias("avg_duration_ms"),
+        round_to(F.col("p95"), 0).alias("p95_duration_ms"),
+    ).orderBy(F.desc("total_results"), F.asc_nulls_last("tool_name"))
 
 
 def tool_latency_distribution(star: Star) -> DataFrame:
     return star.fact_tool_usage.filter(F.col("duration_ms") > 0).select("tool_name", "duration_ms")
 
 
-def high_latency_tools(star: Star) -> DataFrame:
-    counts = value_counts(tool_latency_distribution(star), ["tool_name"], "duration_ms")
-    out = _with_quantiles(
-        counts,
-        "tool_name",
+def _latency(rows: DataFrame, key: str, count_name: str, probs: dict[str, float]) -> DataFrame:
+    """Count, mean, quantiles and maximum of duration_ms per key, times in whole milliseconds."""
+    aggregates = {count_name: (F.sum, F.col("n")), "max_ms": (F.max, F.col("duration_ms"))}
+    out = quantiles(
+        value_counts(rows, [key], "duration_ms"),
+        [key],
         "duration_ms",
-        [
-            F.sum("n").alias("call_count"),
-            round_to(weighted_mean("duration_ms"), 0).alias("avg_ms"),
-            F.max("duration_ms").alias("max_ms"),
-        ],
-        {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99},
+        probs,
+        aggregates | mean_of("duration_ms"),
+    )
+    return out.select(
+        key,
+        count_name,
+        round_to(mean(), 0).alias("avg_ms"),
+        *[round_to(F.col(name), 0).alias(name) for name in probs],
+        "max_ms",
+    )
+
+
+def high_latency_tools(star: Star) -> DataFrame:
+    probs = {"p50_ms": 0.50, "p95_ms": 0.95, "p99_ms": 0.99}
+    return _latency(tool_latency_distribution(star), "tool_name", "call_count", probs).orderBy(
+        F.desc_nulls_last("p95_ms"), F.asc_nulls_last("tool_name")
     )
-    columns = ["tool_name", "call_count", "avg_ms", "p50_ms", "p95_ms", "p99_ms", "max_ms"]
-    return out.select(columns).orderBy(F.desc_nulls_last("p95_ms"), F.asc_nulls_last("tool_name"))
 
 
 def api_request_latency_by_model(star: Star) -> DataFrame:
     timed = star.fact_api_requests.filter(F.col("duration_ms").isNotNull())
-    out = _with_quantiles(
-        value_counts(timed, ["model"], "duration_ms"),
-        "model",
-        "duration_ms",
-        [
-            F.sum("n").alias("request_count"),
-            round_to(weighted_mean("duration_ms"), 0).alias("avg_ms"),
-            F.max("duration_ms").alias("max_ms"),
-        ],
-        {"p50_ms": 0.50, "p95_ms": 0.95},
+    probs = {"p50_ms": 0.50, "p95_ms": 0.95}
+    return _latency(timed, "model", "request_count", probs).orderBy(
+        F.desc_nulls_last("avg_ms"), F.asc_nulls_last("model")
     )
-    columns = ["model", "request_count", "avg_ms", "p50_ms", "p95_ms", "max_ms"]
-    return out.select(columns).orderBy(F.desc_nulls_last("avg_ms"), F.asc_nulls_last("model"))
 
 
 # Errors, sessions, prompts

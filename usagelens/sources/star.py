@@ -58,7 +58,7 @@ def write_star(
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     dim.write.mode("overwrite").parquet(f"{root}/versions/{version}/dim_employees")
     write_events(events, events_path(root, version), "overwrite", partition_by)
-    commit = spark.createDataFrame([(version,)], COMMIT).coalesce(1)
+    commit = spark.range(1).selectExpr(f"'{version}' AS version").coalesce(1)
     commit.write.mode("append").parquet(f"{root}/commits")
     return version
 
