@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from usagelens.functions.joins import hint_if_small, settle
 from usagelens.operators import facts, parse
 from usagelens.session import scratch_path
 from usagelens.sources.star import DAILY, read_events, write_events
@@ -15,11 +16,19 @@ from usagelens.sources.star import DAILY, read_events, write_events
 def one_per_id(events: DataFrame) -> DataFrame:
     """Drop repeated event ids; events without an id are all kept.
 
-    An id names one immutable event, so which copy stays does not matter.
+    An id names one immutable event, so which copy stays does not matter. Only ids are shuffled to
+    find the repeats, and then only the rows of repeated ids; the others stay where they are.
     """
-    has_id = F.col("event_id").isNotNull()
-    return (
-        events.filter(has_id).dropDuplicates(["event_id"]).unionByName(events.filter(~has_id))
+    counts = events.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = counts.filter("event_id IS NOT NULL AND n > 1").select(F.col("event_id").alias("__id"))
+    repeated = settle(repeated)
+    if repeated.isEmpty():
+        return events
+    repeated = hint_if_small(repeated)
+    same = F.col("event_id") == F.col("__id")
+    once = events.join(repeated, same, "left_anti")
+    return once.unionByName(
+        events.join(repeated, same, "left_semi").dropDuplicates(["event_id"])
     )
 
 
@@ -29,11 +38,12 @@ def new_events(delta: DataFrame, loaded: DataFrame) -> DataFrame:
     A repeated delivery carries the same timestamp, hence the same day: comparing day and id lets
     the caller read only the days the delta touches.
     """
-    known = loaded.filter(F.col("event_id").isNotNull()).select(
-        F.col("event_id").alias("__id"), F.col("event_date").alias("__day")
-    )
+    known = loaded.select(F.col("event_id").alias("__id"), F.col("event_date").alias("__day"))
     same = (F.col("event_id") == F.col("__id")) & F.col("event_date").eqNullSafe(F.col("__day"))
-    return one_per_id(delta).join(known, same, "left_anti")
+    seen = settle(known.join(delta.select("event_id", "event_date"), same, "left_semi"))
+    if not seen.isEmpty():
+        delta = delta.join(hint_if_small(seen), same, "left_anti")
+    return one_per_id(delta)
 
 
 def _touched_days(loaded: DataFrame, delta: DataFrame) -> DataFrame:
