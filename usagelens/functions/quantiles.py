@@ -64,8 +64,10 @@ def quantiles(
         F.coalesce(F.sum(F.when(has_value, F.col("n"))), F.lit(0)).alias("__bn"),
         *[fn(column).alias(name) for name, (fn, column) in carry.items()],
     )
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # both frames share one sort
+    by_bucket = Window.partitionBy(*keys).orderBy("__b")
+    running = by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    group = by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = per_bucket.select(
         *keys,
         "__b",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import percent
-from usagelens.functions.joins import hint_if_small, settle
 from usagelens.functions.quantiles import histogram, mean, mean_of, quantiles, value_counts
 from usagelens.operators import metrics
 from usagelens.schemas import Star
@@ -63,19 +62,16 @@ BOX = {"min_ms": 0.0, "q1_ms": 0.25, "median_ms": 0.5, "q3_ms": 0.75, "max_ms":
 def latency_box_stats(star: Star, multiplier: float = 1.5) -> DataFrame:
     """Five-number summary, whisker ends and outlier count per tool.
 
-    Whiskers end at the outermost values within `multiplier` interquartile ranges of the box.
+    Whiskers end at the outermost values within `multiplier` interquartile ranges of the box. Boxes
+    and counts come from the same value counts, computed once, so the calls are scanned once.
     """
     rows = metrics.tool_latency_distribution(star)
     counts = value_counts(rows, ["tool_name"], "duration_ms")
-    reach = (F.col("q3_ms") - F.col("q1_ms")) * multiplier
-    boxes = quantiles(counts, ["tool_name"], "duration_ms", BOX).select(
-        F.col("tool_name").alias("tool"),
-        *BOX,
-        (F.col("q1_ms") - reach).alias("low"),
-        (F.col("q3_ms") + reach).alias("high"),
+    reach = f"{float(multiplier)!r}D * (q3_ms - q1_ms)"
+    boxes = quantiles(counts, ["tool_name"], "duration_ms", BOX).selectExpr(
+        "tool_name AS tool", *BOX, f"q1_ms - {reach} AS low", f"q3_ms + {reach} AS high"
     )
-    same_tool = F.col("tool_name").eqNullSafe(F.col("tool"))
-    placed = counts.join(hint_if_small(settle(boxes)), same_tool)
+    placed = counts.join(boxes, F.col("tool_name").eqNullSafe(F.col("tool")))
     within = F.col("duration_ms").between(F.col("low"), F.col("high"))
     return (
         placed.groupBy("tool_name", *BOX)

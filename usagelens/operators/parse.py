@@ -44,9 +44,9 @@ def parse_batch(lines: DataFrame) -> DataFrame:
     ok = _is_single("__p", "value")
     return parsed.selectExpr(
         "value",
-        f"CASE WHEN {ok} THEN __p[0] END AS batch",
+        f"CASE WHEN {ok} THEN get(__p, 0) END AS batch",
         f"""CASE WHEN NOT {ok} THEN 'malformed line'
-            WHEN __p[0].logEvents IS NULL AND contains(value, '"logEvents"')
+            WHEN get(__p, 0).logEvents IS NULL AND contains(value, '"logEvents"')
             THEN 'logEvents is not a list of events' END AS batch_error""",
     )
 
@@ -92,7 +92,7 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
         f"{to_long('time_text')} AS epoch_ms",
         f"""CASE WHEN batch_error IS NOT NULL THEN named_struct('stage', 'batch', 'reason', batch_error)
             WHEN NOT {ok} THEN named_struct('stage', 'message', 'reason', 'malformed message')
-            WHEN __p[0].attributes IS NULL AND contains({text}, '"attributes"')
+            WHEN get(__p, 0).attributes IS NULL AND contains({text}, '"attributes"')
             THEN named_struct('stage', 'message', 'reason', 'attributes is not an object')
             WHEN time_text IS NOT NULL AND {to_long('time_text')} IS NULL
             THEN named_struct('stage', 'timestamp', 'reason', 'timestamp is not a number')
@@ -101,7 +101,7 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
     return judged.selectExpr(
         "event.id AS event_id",
         "epoch_ms",
-        "CASE WHEN fault IS NULL THEN __p[0] END AS message",
+        "CASE WHEN fault IS NULL THEN get(__p, 0) END AS message",
         "fault.stage AS stage",
         "fault.reason AS reason",
         f"CASE WHEN fault.stage = 'batch' THEN line WHEN fault IS NOT NULL THEN {text} END AS raw",
