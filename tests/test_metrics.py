@@ -5,7 +5,7 @@ from usagelens.operators import charts, findings, metrics
 from usagelens.schemas import TelemetryError
 
 ALICE, BOB = "alice@example.com", "bob@example.com"
-SONNET, HAIKU = "claude-sonnet-4-5-20250929", "claude-haiku-4-5-20251001"
+SONNET, HAIKU = "some-sonnet-4-5", "some-haiku-4-5"
 T0 = 1700000000000
 
 

@@ -505,13 +505,12 @@ on_star(
     "error_rate_by_model",
     metrics.error_rate_by_model,
     over(
-        """SELECT coalesce(r.model, e.model) AS model, coalesce(r.cnt, 0) AS request_count,
-        coalesce(e.cnt, 0) AS error_count,
-        round(CAST(coalesce(e.cnt, 0) AS DOUBLE) * 100.0
-            / nullif(coalesce(r.cnt, 0) + coalesce(e.cnt, 0), 0), 1) AS error_rate_pct
-        FROM (SELECT model, count(*) AS cnt FROM fact_api_requests GROUP BY model) r
-        FULL OUTER JOIN (SELECT model, count(*) AS cnt FROM fact_api_errors GROUP BY model) e
-        ON r.model = e.model"""
+        """SELECT model, CAST(sum(is_request) AS BIGINT) AS request_count,
+        CAST(sum(1 - is_request) AS BIGINT) AS error_count,
+        round(CAST(sum(1 - is_request) AS DOUBLE) * 100.0 / count(*), 1) AS error_rate_pct
+        FROM (SELECT model, 1 AS is_request FROM fact_api_requests
+            UNION ALL SELECT model, 0 FROM fact_api_errors)
+        GROUP BY model, CASE WHEN model IS NULL THEN is_request END"""
     ),
 )
 on_star(
@@ -629,23 +628,19 @@ on_star(
 
 # Anomalies
 
-_COST_ANOMALIES = """SELECT f.epoch_ms,
-    strftime(make_timestamp(f.epoch_ms * 1000), '%Y-%m-%d %H:%M:%S') AS timestamp,
-    f.user_email, f.model, round(f.cost_usd, 4) AS cost_usd, f.duration_ms,
-    round(f.duration_ms / CAST(1000 AS DOUBLE), 2) AS duration_sec,
-    round((f.cost_usd - s.m) / nullif(s.d, 0), 2) AS z_score, f.session_id
-    FROM fact_api_requests f, (SELECT avg(cost_usd) AS m, stddev(cost_usd) AS d
-        FROM fact_api_requests WHERE cost_usd > 0) s
-    WHERE f.cost_usd > 0 AND (f.cost_usd - s.m) / nullif(s.d, 0) >= 3.0"""
-_LATENCY_ANOMALIES = f"""SELECT f.epoch_ms,
-    strftime(make_timestamp(f.epoch_ms * 1000), '%Y-%m-%d %H:%M:%S') AS timestamp,
-    f.user_email, f.tool_name, f.duration_ms,
-    round(f.duration_ms / CAST(1000 AS DOUBLE), 2) AS duration_sec,
-    round(b.t / CAST(1000 AS DOUBLE), 2) AS threshold_sec, f.session_id
-    FROM fact_tool_usage f JOIN (SELECT tool_name,
-        {_pct(0.75)} + CAST(1.5 AS DOUBLE) * ({_pct(0.75)} - {_pct(0.25)}) AS t
-        FROM fact_tool_usage WHERE duration_ms > 0 GROUP BY tool_name) b
-    ON f.tool_name = b.tool_name WHERE f.duration_ms > b.t"""
+_AT_SECOND = "strftime(make_timestamp(epoch_ms * 1000), '%Y-%m-%d %H:%M:%S') AS timestamp"
+_SECONDS = "round(duration_ms / CAST(1000 AS DOUBLE), 2) AS duration_sec"
+_COST_ANOMALIES = f"""SELECT epoch_ms, {_AT_SECOND}, user_email, model,
+    round(cost_usd, 4) AS cost_usd, duration_ms, {_SECONDS}, round(z, 2) AS z_score, session_id
+    FROM (SELECT *, (cost_usd - avg(cost_usd) OVER ()) / nullif(stddev(cost_usd) OVER (), 0) AS z
+        FROM fact_api_requests WHERE cost_usd > 0) WHERE z >= 3"""
+_LATENCY_ANOMALIES = f"""SELECT epoch_ms, {_AT_SECOND}, user_email, tool_name, duration_ms,
+    {_SECONDS}, round(bound / CAST(1000 AS DOUBLE), 2) AS threshold_sec, session_id
+    FROM (SELECT *, q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS bound
+        FROM (SELECT *, quantile_cont(duration_ms, 0.25) OVER tool AS q1,
+                quantile_cont(duration_ms, 0.75) OVER tool AS q3
+            FROM fact_tool_usage WHERE duration_ms > 0 WINDOW tool AS (PARTITION BY tool_name)))
+    WHERE duration_ms > bound AND tool_name IS NOT NULL"""
 _BY_COST = "ORDER BY cost_usd DESC, epoch_ms, user_email, session_id, model"
 _BY_LATENCY = "ORDER BY duration_ms DESC, epoch_ms, user_email, tool_name, session_id"
 
