@@ -3,6 +3,7 @@ import json
 import pytest
 
 from tests.conftest import rows_of
+from usagelens.functions import joins
 from usagelens.operators import adhoc, metrics
 from usagelens.schemas import CONTRACT, QueryError, UnknownTableError
 
@@ -60,3 +61,8 @@ def test_practice_view(star):
     assert seen.fact_user_prompts.count() == 50
     assert seen.fact_api_requests.count() == 0
     assert rows_of(metrics.total_cost(seen)) == [(0.0,)]
+
+
+def test_practice_view_without_broadcast(star, monkeypatch):
+    monkeypatch.setattr(adhoc, "hint_if_small", lambda df: joins.hint_if_small(df, max_rows=0))
+    assert adhoc.practice_view(star, "P").fact_user_prompts.count() == 100

@@ -172,6 +172,12 @@ def test_errors(make_star):
     assert rows_of(charts.errors_by_status(star, keep_null_status=True)) == [(429, 3, 2), (None, 1, 1)]
     by_hour = findings.errors_by_hour(star, by="hour_of_day")
     assert rows_of(by_hour) == [(22, 4, 3, 0, 100.0)]
+    untimed = make_star(
+        fact_api_errors=[(None, "s", "u", "m", "a", 429), (0, "s", "u", "m", "a", 500)],
+        fact_api_requests=[(None, "s", "u", "m", 1.0, 1, 1, 1, 1, 1)],
+    )
+    by_hour = findings.errors_by_hour(untimed, by="hour_of_day")
+    assert rows_of(by_hour) == [(0, 1, 0, 0, 100.0), (None, 1, 1, 1, 50.0)]
     with pytest.raises(TelemetryError):
         findings.errors_by_hour(star, by="minute")
 

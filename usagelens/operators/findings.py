@@ -42,7 +42,11 @@ def cost_by_model_family(star: Star, pattern: str = "|".join(FAMILIES)) -> DataF
 
 
 def errors_by_hour(star: Star, by: str = "window") -> DataFrame:
-    """Errors, 429s, requests and error rate per hour: by="window" on the time line, or by="hour_of_day"."""
+    """Errors, 429s, requests and error rate per hour.
+
+    by="window" takes hours along the time line, by="hour_of_day" adds up all days. Events without
+    a time form a group of their own.
+    """
     ts = to_timestamp(F.col("epoch_ms"))
     if by == "window":
         slot = F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour_start")
@@ -51,14 +55,22 @@ def errors_by_hour(star: Star, by: str = "window") -> DataFrame:
     else:
         raise TelemetryError(f"unknown grouping '{by}': use 'window' or 'hour_of_day'")
     name = "hour_start" if by == "window" else "hour_of_day"
-    errors = star.fact_api_errors.groupBy(slot).agg(
-        F.count(F.lit(1)).alias("error_count"),
-        F.count_if(F.col("status_code") == 429).alias("rate_limit_count"),
+    errors = star.fact_api_errors.select(slot, "status_code", F.lit(True).alias("is_error"))
+    requests = star.fact_api_requests.select(
+        slot, F.lit(None).cast("int").alias("status_code"), F.lit(False).alias("is_error")
+    )
+    failed, total = F.count_if(F.col("is_error")), F.count(F.lit(1))
+    return (
+        errors.unionByName(requests)
+        .groupBy(name)
+        .agg(
+            failed.alias("error_count"),
+            F.count_if(F.col("status_code") == 429).alias("rate_limit_count"),
+            F.count_if(~F.col("is_error")).alias("request_count"),
+            percent(failed, total).alias("error_rate_pct"),
+        )
+        .orderBy(F.asc_nulls_last(name))
     )
-    requests = star.fact_api_requests.groupBy(slot).agg(F.count(F.lit(1)).alias("request_count"))
-    both = errors.join(requests, name, "full_outer").na.fill(0)
-    rate = percent(F.col("error_count"), F.col("error_count") + F.col("request_count"))
-    return both.withColumn("error_rate_pct", rate).orderBy(F.asc_nulls_last(name))
 
 
 def prompt_length_by_level(star: Star) -> DataFrame:

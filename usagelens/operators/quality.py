@@ -50,7 +50,8 @@ def null_prompt_count(star: Star) -> DataFrame:
 def orphan_emails(star: Star) -> DataFrame:
     """Distinct (table, email) pairs in the facts without an employee.
 
-    Emails are made distinct before the join, so a user with many rows crosses it once.
+    Emails are made distinct first, so a user with many rows is shuffled to the join once. Where the
+    dimension is small enough to broadcast, Spark looks the emails up before that instead.
     """
     used = [
         star.table(t).select(F.lit(t).alias("table_name"), "user_email").distinct()

@@ -88,7 +88,10 @@ def stream_upsert(
     partition_by: tuple[str, ...] = DAILY,
     **trigger,
 ) -> StreamingQuery:
-    """Micro-batch upsert. Exact however late a repeat arrives, and a retried batch adds nothing."""
+    """Micro-batch upsert, exact however late a repeat arrives.
+
+    A batch retried after a failure adds nothing that has an id; see `incremental_upsert`.
+    """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
         incremental_upsert(facts.typed_events(parse.parse_lines(batch)), path, partition_by)

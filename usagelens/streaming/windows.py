@@ -13,7 +13,7 @@ def windowed_kpis(events: DataFrame, width: str = "1 hour", lateness: str | None
 
     With `lateness` the state of a stream is bounded: a window is emitted once no event within that
     delay can still reach it. All aggregates combine on the map side, so a hot hour costs one row
-    per task.
+    per task. Events without a time belong to no window.
     """
     timed = events.withColumn("event_ts", to_timestamp(F.col("epoch_ms"))).filter(
         F.col("event_ts").isNotNull() & F.col("table").isin("fact_api_requests", "fact_api_errors")
