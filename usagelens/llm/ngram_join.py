@@ -276,17 +276,16 @@ def verify_tiles(batches, least: tuple[int, ...], threshold: float):
 
 
 def linked(values, sets, side, copies, least, threshold: float) -> tuple[np.ndarray, Forest]:
-    """Links of each row, counted in documents. Rows of side 0 meet each other, or those of side 1 if there are any."""
+    """Links of each row, counted in documents: side 0 meets itself, side -1 meets side 1."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     cuts = np.concatenate([[0], np.cumsum(sizes)])
     vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
     held = np.zeros(len(vocabulary), dtype=bool)
     links, forest = np.zeros(n, dtype=np.int64), Forest(n)
-    two_sided = bool(side.any())
-    right = np.flatnonzero(side) if two_sided else None
-    for x in np.flatnonzero(side == 0):
-        others = right if two_sided else np.arange(x + 1, n)
+    right = np.flatnonzero(side == 1)
+    for x in np.flatnonzero(side <= 0):
+        others = right if side[x] else np.arange(x + 1, n)
         if not len(others):
             continue
         others = surviving(values, x, others, least)
@@ -347,7 +346,7 @@ def verified(docs: DataFrame, texts: DataFrame, tied: DataFrame, least: tuple[in
         .select("*", other)
         .select(
             F.xxhash64("root.ha", "root.hb", low, high).alias("tile"),
-            F.when(F.col("chunk") > F.col("other"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("side"),
+            F.signum(F.col("chunk") - F.col("other")).cast("long").alias("side"),
             "ha",
             "hb",
             "copies",

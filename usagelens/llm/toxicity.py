@@ -78,7 +78,7 @@ def rows_of(words: list[str], beginnings: dict[str, int]) -> np.ndarray:
 
 @dataclass
 class Packed:
-    """Texts as one sequence of word numbers: each text has a word at least, and two empty ones after it."""
+    """Texts as one sequence of word numbers: each has a word at least and two empty ones after it, the last three."""
 
     ids: np.ndarray
     starts: np.ndarray
@@ -89,7 +89,7 @@ def packed(texts: list[list[int]]) -> Packed:
     sizes = np.array([max(1, len(t)) for t in texts])
     ends = np.cumsum(sizes + 2) - 2
     flat = [x for t in texts for x in (*(t or (0,)), 0, 0)]
-    return Packed(np.array(flat, dtype=np.int64), ends - sizes, ends)
+    return Packed(np.array([*flat, 0], dtype=np.int64), ends - sizes, ends)
 
 
 @dataclass
@@ -122,7 +122,6 @@ class Model:
     def pooled(self, values: np.ndarray, text: Packed) -> np.ndarray:
         cuts = np.stack([text.starts, text.ends], axis=1).ravel()
         maps = self.convolved(values, text)
-        cuts = np.minimum(cuts, len(maps[0]) - 1)
         highest = [np.maximum.reduceat(m, cuts, axis=0)[::2] for m in maps]
         return np.maximum(np.concatenate(highest, axis=1), 0)
 
