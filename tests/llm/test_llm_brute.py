@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from usagelens.llm import decontaminate, fingerprints, langid, line_dedup, mixing, ngram_join, pii, sharding, toxicity, url_filter
+from usagelens.llm.common import buckets_for
 from usagelens.llm.queries import ORACLES, QUERIES
 
 SMALL, MIDDLE, LARGE = (Path("/root/testdata") / x for x in ("sf0.001", "sf0.01", "sf0.1"))
@@ -116,7 +117,7 @@ def test_interleave(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     found = sharding.interleave(docs).collect()
     rows = sharding.measured(docs).collect()
-    n_buckets = max(1, -(-len(rows) // 4096))
+    n_buckets = buckets_for(len(rows))
     of_source = collections.defaultdict(list)
     for r in rows:
         of_source[r.key].append(((r.mixed >> 20) % n_buckets, r.mixed, r.doc_id, r["size"], r.text_crc32, r.key))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from usagelens.session import scratch_path
 
 # Rows that one task sorts at a time where running totals are taken bucket by bucket.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 # Text that Python code holds as objects at a time; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
