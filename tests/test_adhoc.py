@@ -40,14 +40,37 @@ def test_schema(star):
 
 
 def test_sql(star):
-    assert adhoc.run_sql(star, "SELECT * FROM fact_user_prompts").count() == 100
-    assert adhoc.run_sql(star, "SELECT * FROM fact_user_prompts", max_rows=None).count() == 150
+    assert adhoc.run_sql(star, "SELECT * FROM fact_user_prompts").count() == 150
+    assert adhoc.run_sql(star, "SELECT * FROM fact_user_prompts;", max_rows=100).count() == 100
+    with_names = "WITH a AS (SELECT 1 AS x) SELECT x + 1 FROM a -- done"
+    assert rows_of(adhoc.run_sql(star, with_names)) == [(2,)]
     assert rows_of(adhoc.run_sql(star, "SELECT count(*) FROM dim_employees")) == [(2,)]
     for bad in ("SELEC 1", "SELECT nope FROM dim_employees", "SELECT * FROM nowhere"):
         with pytest.raises(QueryError):
             adhoc.run_sql(star, bad)
 
 
+def test_sql_only_reads(star, tmp_path):
+    out = tmp_path / "out"
+    for text in (
+        f"INSERT OVERWRITE DIRECTORY '{out}' USING parquet SELECT 1 AS a",
+        f"FROM fact_user_prompts INSERT OVERWRITE DIRECTORY '{out}' USING parquet SELECT *",
+        f"CREATE TABLE t USING parquet LOCATION '{out}' AS SELECT 1 AS a",
+        "DROP VIEW fact_user_prompts",
+        "SET spark.sql.shuffle.partitions = 1",
+    ):
+        with pytest.raises(QueryError):
+            adhoc.run_sql(star, text)
+    assert not out.exists()
+
+
+def test_errors_while_running(star):
+    failing = "SELECT 1 DIV (prompt_length - prompt_length) FROM fact_user_prompts"
+    with pytest.raises(QueryError):
+        adhoc.fetch_sql(star, failing, 10)
+    assert len(adhoc.fetch_sql(star, "SELECT * FROM fact_user_prompts", 10)) == 10
+
+
 def test_json_rows(spark):
     df = spark.sql("SELECT DATE'2024-01-02' AS d, X'0AFF' AS b, CAST(NULL AS INT) AS n, 'é' AS `s.t`")
     assert json.loads(adhoc.to_json_rows(df).first()["json"]) == {

@@ -22,21 +22,24 @@ def message(kind, **attributes):
     return {"body": BODIES[kind], "attributes": {**WHO, **attributes}}
 
 
-TOKENS = {"input_tokens": "10", "output_tokens": "5", "model": "m1", "duration_ms": "900"}
-SIX_EVENTS = [
-    message("api_request", cost_usd="0.0123", **TOKENS),
-    message("api_request", cost_usd="not_a_number", **TOKENS),
-    message("tool_decision", tool_name="Read", decision="accept", source="config"),
-    message("tool_result", tool_name="Read", success="true", duration_ms="42"),
-    message("api_error", model="m1", error="rate_limit", status_code="429"),
-    message("user_prompt", prompt_length="128"),
+MADE_OF = {"input_tokens": "700", "output_tokens": "40", "model": "x-9", "duration_ms": "55"}
+NINE_EVENTS = [
+    message("user_prompt", prompt_length="31"),
+    message("api_request", cost_usd="2.5", **MADE_OF),
+    message("tool_decision", tool_name="Grep", decision="reject", source="hook"),
+    message("api_request", cost_usd="12,5", **MADE_OF),
+    message("tool_result", tool_name="Write", success="false", duration_ms="7"),
+    message("tool_result", tool_name="Grep", success="true", duration_ms="8"),
+    message("api_error", model="x-9", error="overloaded", status_code="503"),
+    message("api_request", cost_usd="0.75", **MADE_OF),
+    message("api_error", model="x-9", error="lost", status_code="none"),
 ]
 
 
 @pytest.fixture
 def inputs(tmp_path):
     logs_path, people = tmp_path / "logs.jsonl", tmp_path / "employees.csv"
-    events = [event(m, id=f"e{i}") for i, m in enumerate(SIX_EVENTS)]
+    events = [event(m, id=f"e{i}") for i, m in enumerate(NINE_EVENTS)]
     extra = line(event({"body": "other"}, id="u"), event("junk", id="j"))
     logs_path.write_text("\n".join([line(*events), "junk", "", extra]) + "\n")
     people.write_text(
@@ -54,24 +57,24 @@ def test_load(spark, inputs, partition_by):
     counts = dict(rows_of(quality.row_counts(loaded)))
     assert counts == {
         "dim_employees": 1,
-        "fact_api_requests": 2,
-        "fact_tool_usage": 2,
-        "fact_api_errors": 1,
+        "fact_api_requests": 3,
+        "fact_tool_usage": 3,
+        "fact_api_errors": 2,
         "fact_user_prompts": 1,
     }
     for name, schema in CONTRACT.items():
         assert loaded.contract(name).schema == schema
     costs = {r["cost_usd"] for r in loaded.fact_api_requests.collect()}
-    assert costs == {None, 0.0123}
-    assert loaded.fact_api_errors.first()["status_code"] == 429
+    assert costs == {None, 0.75, 2.5}
+    assert {r["status_code"] for r in loaded.fact_api_errors.collect()} == {None, 503}
     assert loaded.dim_employees.first()["full_name"] == "Doe, Alice"
-    assert rows_of(quality.reject_counts(loaded)) == [(2, 1)]
-    assert rows_of(quality.tool_usage_counts(loaded)) == [(2, 1, 1)]
+    assert rows_of(quality.reject_counts(loaded)) == [(3, 1)]
+    assert rows_of(quality.tool_usage_counts(loaded)) == [(3, 1, 2)]
     # every event is somewhere
     assert rows_of(ingest.load_report(spark, root)) == [
-        ("fact_api_errors", None, 1),
-        ("fact_api_requests", None, 2),
-        ("fact_tool_usage", None, 2),
+        ("fact_api_errors", None, 2),
+        ("fact_api_requests", None, 3),
+        ("fact_tool_usage", None, 3),
         ("fact_user_prompts", None, 1),
         ("quarantine", "batch", 1),
         ("quarantine", "message", 1),

@@ -4,45 +4,50 @@ from tests.conftest import rows_of
 from usagelens.operators import charts, findings, metrics
 from usagelens.schemas import TelemetryError
 
-ALICE, BOB = "alice@example.com", "bob@example.com"
-SONNET, HAIKU = "some-sonnet-4-5", "some-haiku-4-5"
+ANA, BO, CY = "ana@x.org", "bo@x.org", "cy@x.org"
+BIG, TINY = "x-opus-1", "y-haiku-2"
 T0 = 1700000000000
 
 
 @pytest.fixture
 def star(make_star):
+    """Two people in one practice and one in another; numbers that are easy to add up."""
     return make_star(
         dim_employees=[
-            (ALICE, "Alice", "Backend Engineering", "L5", "Germany"),
-            (BOB, "Bob", "Frontend Engineering", "L3", "Poland"),
+            (ANA, "Ana", "Data", "L8", "Peru"),
+            (BO, "Bo", "Data", "L2", "Chad"),
+            (CY, "Cy", "Web", "L6", "Fiji"),
         ],
         fact_api_requests=[
-            (T0, "s1", ALICE, SONNET, 0.05, 5000, 100, 200, 50, 10),
-            (T0 + 1000, "s1", ALICE, HAIKU, 0.001, 1000, 50, 80, 0, 0),
-            (T0 + 2000, "s2", BOB, SONNET, 0.03, 3000, 80, 150, 30, 5),
+            (T0, "p1", ANA, BIG, 1.5, 2000, 300, 100, 600, 50),
+            (T0 + 60000, "p1", ANA, BIG, 0.5, 4000, 100, 100, 0, 0),
+            (T0, "p2", BO, TINY, 0.25, 3000, 200, 200, 200, 40),
+            (T0, "p3", CY, TINY, 0.75, 3000, 400, 600, 0, 10),
         ],
         fact_tool_usage=[
-            (T0, "s1", ALICE, "Read", "accept", "config", None, None),
-            (T0, "s1", ALICE, "Read", None, None, True, 42),
-            (T0, "s1", ALICE, "Edit", "reject", "user_reject", None, None),
-            (T0, "s2", BOB, "Bash", "accept", "config", None, None),
-            (T0, "s2", BOB, "Bash", None, None, False, 500),
+            (T0, "p1", ANA, "Grep", "accept", "hook", None, None),
+            (T0, "p1", ANA, "Grep", None, None, True, 100),
+            (T0, "p2", BO, "Grep", None, None, False, 300),
+            (T0, "p2", BO, "Write", "reject", "user", None, None),
+            (T0, "p3", CY, "Write", "accept", "user", None, None),
+            (T0, "p3", CY, "Write", None, None, True, 20),
         ],
-        fact_api_errors=[(T0, "s1", ALICE, SONNET, "rate_limit", 429)],
+        fact_api_errors=[(T0, "p1", ANA, BIG, "overloaded", 529)],
         fact_user_prompts=[
-            (T0, "s1", ALICE, 256),
-            (T0 + 5000, "s1", ALICE, 128),
-            (T0, "s2", BOB, 512),
+            (T0, "p1", ANA, 40),
+            (T0 + 9000, "p1", ANA, 60),
+            (T0 + 9500, "p1", ANA, 80),
+            (T0, "p2", BO, 100),
         ],
     )
 
 
 def test_kpis(star):
-    assert rows_of(metrics.total_cost(star)) == [(0.081,)]
-    assert rows_of(metrics.total_tokens(star)) == [(660,)]
-    assert metrics.cache_read_ratio(star).first()[0] == pytest.approx(100 * 80 / 325)
-    assert rows_of(metrics.api_error_rate(star)) == [(25.0,)]
-    assert rows_of(metrics.kpis(star)) == [(0.08, 660, 24.6, 25.0)]
+    assert rows_of(metrics.total_cost(star)) == [(3.0,)]
+    assert rows_of(metrics.total_tokens(star)) == [(2000,)]
+    assert metrics.cache_read_ratio(star).first()[0] == pytest.approx(100 * 800 / 1900)
+    assert rows_of(metrics.api_error_rate(star)) == [(20.0,)]
+    assert rows_of(metrics.kpis(star)) == [(3.0, 2000, 42.1, 20.0)]
 
 
 def test_kpis_of_nothing(make_star):
@@ -52,14 +57,11 @@ def test_kpis_of_nothing(make_star):
 
 
 def test_costs(star):
-    assert rows_of(metrics.cost_by_practice(star)) == [
-        ("Backend Engineering", 0.051, 430, 2),
-        ("Frontend Engineering", 0.03, 230, 1),
-    ]
-    assert [r["level"] for r in metrics.cost_by_level(star).collect()] == ["L3", "L5"]
-    assert rows_of(metrics.token_efficiency_by_practice(star)) == [
-        ("Backend Engineering", 25.5, 23.8, 3000.0),
-        ("Frontend Engineering", 30.0, 26.1, 3000.0),
+    assert rows_of(metrics.cost_by_practice(star)) == [("Data", 2.25, 1000, 3), ("Web", 0.75, 1000, 1)]
+    assert [r["level"] for r in metrics.cost_by_level(star).collect()] == ["L2", "L6", "L8"]
+    assert sorted(rows_of(metrics.token_efficiency_by_practice(star))) == [
+        ("Data", 750.0, 53.7, 3000.0),
+        ("Web", 750.0, 0.0, 3000.0),
     ]
 
 
@@ -93,18 +95,15 @@ def test_null_numbers(make_star):
 
 
 def test_models(star):
-    assert rows_of(metrics.model_usage_breakdown(star)) == [
-        (SONNET, 2, 0.08, 530),
-        (HAIKU, 1, 0.001, 130),
-    ]
-    assert rows_of(metrics.error_rate_by_model(star)) == [(SONNET, 2, 1, 33.3), (HAIKU, 1, 0, 0.0)]
-    assert rows_of(charts.request_share_by_model(star)) == [(SONNET, 2, 66.7), (HAIKU, 1, 33.3)]
-    assert rows_of(metrics.api_request_latency_by_model(star)) == [
-        (SONNET, 2, 4000.0, 4000.0, 4900.0, 5000),
-        (HAIKU, 1, 1000.0, 1000.0, 1000.0, 1000),
+    assert sorted(rows_of(metrics.model_usage_breakdown(star))) == [(BIG, 2, 2.0, 600), (TINY, 2, 1.0, 1400)]
+    assert sorted(rows_of(metrics.error_rate_by_model(star))) == [(BIG, 2, 1, 33.3), (TINY, 2, 0, 0.0)]
+    assert sorted(rows_of(charts.request_share_by_model(star))) == [(BIG, 2, 50.0), (TINY, 2, 50.0)]
+    assert sorted(rows_of(metrics.api_request_latency_by_model(star))) == [
+        (BIG, 2, 3000.0, 3000.0, 3900.0, 4000),
+        (TINY, 2, 3000.0, 3000.0, 3000.0, 3000),
     ]
     family = rows_of(findings.cost_by_model_family(star).select("family", "request_count"))
-    assert family == [("sonnet", 2), ("haiku", 1)]
+    assert family == [("opus", 2), ("haiku", 2)]
 
 
 def test_missing_models_do_not_meet(make_star):
@@ -119,17 +118,23 @@ def test_missing_models_do_not_meet(make_star):
 
 
 def test_tools(star):
-    assert rows_of(metrics.tool_usage_frequency(star)) == [
-        ("Bash", 1, 0, 0.0),
-        ("Edit", 1, 1, 100.0),
-        ("Read", 1, 0, 0.0),
-    ]
+    assert rows_of(metrics.tool_usage_frequency(star)) == [("Write", 2, 1, 50.0), ("Grep", 1, 0, 0.0)]
     assert rows_of(metrics.tool_success_rates(star)) == [
-        ("Bash", 1, 0, 0.0, 500.0, 500.0),
-        ("Read", 1, 1, 100.0, 42.0, 42.0),
+        ("Grep", 2, 1, 50.0, 200.0, 290.0),
+        ("Write", 1, 1, 100.0, 20.0, 20.0),
     ]
-    assert rows_of(metrics.high_latency_tools(star))[0] == ("Bash", 1, *[500.0] * 4, 500)
-    assert sorted(rows_of(metrics.tool_latency_distribution(star))) == [("Bash", 500), ("Read", 42)]
+    assert rows_of(metrics.high_latency_tools(star))[0] == ("Grep", 2, 200.0, 200.0, 290.0, 298.0, 300)
+    durations = sorted(rows_of(metrics.tool_latency_distribution(star)))
+    assert durations == [("Grep", 100), ("Grep", 300), ("Write", 20)]
+
+
+def test_success_rates_scan_the_fact_once(spark, star, tmp_path):
+    star.fact_tool_usage.write.parquet(str(tmp_path / "usage"))
+    usage = spark.read.parquet(str(tmp_path / "usage"))
+    out = metrics.tool_success_rates(type(star)(**{**star.tables(), "fact_tool_usage": usage}))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1
 
 
 def test_results_count_as_decisions_unless_told_apart(spark, make_star):
@@ -184,29 +189,22 @@ def test_errors(make_star):
 
 def test_sessions_and_prompts(star):
     assert rows_of(metrics.session_interaction_stats(star)) == [
-        ("s1", ALICE, 2, 192.0, T0, T0 + 5000),
-        ("s2", BOB, 1, 512.0, T0, T0),
-    ]
-    assert rows_of(charts.prompts_per_session_stats(star)) == [(1.5, 1.5)]
-    assert rows_of(charts.session_turn_histogram(star)) == [(1, 2, 1), (2, 3, 1)]
-    assert charts.prompt_length_avg(star).first()[0] == pytest.approx(896 / 3)
-    assert sum(r["row_count"] for r in charts.prompt_length_histogram(star).collect()) == 3
-    assert rows_of(findings.prompts_per_session_by_practice(star)) == [
-        ("Backend Engineering", 1, 2, 2.0),
-        ("Frontend Engineering", 1, 1, 1.0),
+        ("p1", ANA, 3, 60.0, T0, T0 + 9500),
+        ("p2", BO, 1, 100.0, T0, T0),
     ]
-    assert rows_of(findings.prompt_length_by_level(star)) == [("below L7", 3, 298.7, 256.0, 460.8)]
+    assert rows_of(charts.prompts_per_session_stats(star)) == [(2.0, 2.0)]
+    assert rows_of(charts.session_turn_histogram(star)) == [(1, 2, 1), (3, 4, 1)]
+    assert charts.prompt_length_avg(star).first()[0] == pytest.approx(70)
+    assert sum(r["row_count"] for r in charts.prompt_length_histogram(star).collect()) == 4
+    assert rows_of(findings.prompts_per_session_by_practice(star)) == [("Data", 2, 4, 2.0)]
+    by_level = {r[0]: r[1:] for r in rows_of(findings.prompt_length_by_level(star))}
+    assert by_level.pop("below L7") == (1, 100.0, 100.0, 100.0)
+    assert list(by_level.values()) == [(3, 60.0, 60.0, 76.0)]
 
 
 def test_by_practice(star):
-    assert rows_of(findings.reject_rate_by_practice(star)) == [
-        ("Backend Engineering", 2, 1, 50.0),
-        ("Frontend Engineering", 1, 0, 0.0),
-    ]
-    assert rows_of(findings.cache_savings_by_practice(star)) == [
-        ("Backend Engineering", 10, 50, 5.0),
-        ("Frontend Engineering", 5, 30, 6.0),
-    ]
+    assert sorted(rows_of(findings.reject_rate_by_practice(star))) == [("Data", 2, 1, 50.0), ("Web", 1, 0, 0.0)]
+    assert sorted(rows_of(findings.cache_savings_by_practice(star))) == [("Data", 90, 800, 8.89), ("Web", 10, 0, 0.0)]
 
 
 def test_box_stats(make_star):

@@ -32,8 +32,14 @@ def to_double(text: str) -> str:
 
 
 def to_long(text: str, dtype: str = "BIGINT") -> str:
-    """Integers, and decimal or exponent notation rounded half away from zero."""
-    rounded = f"round(try_cast({text} AS DECIMAL(38, 10)), 0)"
+    """Integers, and decimal or exponent notation rounded half away from zero.
+
+    The first digit after the point decides. Plain decimals are cut there before they are converted, or
+    the conversion would round them once before the rounding that is meant.
+    """
+    cut = rf"regexp_replace({text}, '(\\.[0-9])[0-9]+', '$1')"
+    exact = f"CASE WHEN {text} RLIKE '[eE]' THEN {text} ELSE {cut} END"
+    rounded = f"round(try_cast({exact} AS DECIMAL(38, 18)), 0)"
     slow = f"CASE WHEN {_is_plain_number(text)} THEN try_cast({rounded} AS {dtype}) END"
     return f"coalesce(try_cast({text} AS {dtype}), {slow})"
 
@@ -58,14 +64,28 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     )
 
 
+def in_range(epoch_ms: Column) -> Column:
+    return F.when(epoch_ms.between(MIN_EPOCH_MS, MAX_EPOCH_MS), epoch_ms)
+
+
+def to_instant(epoch_ms: Column) -> Column:
+    """Milliseconds since 1970 as a point in time; NULL outside the years 1 to 9999."""
+    return F.timestamp_millis(in_range(epoch_ms))
+
+
 def to_timestamp(epoch_ms: Column) -> Column:
-    """Milliseconds since 1970 as a timestamp; NULL outside the years 1 to 9999."""
-    in_range = epoch_ms.between(MIN_EPOCH_MS, MAX_EPOCH_MS)
-    return F.when(in_range, F.timestamp_millis(epoch_ms))
+    """The same as date and time in UTC, whatever zone the session is set to."""
+    seconds = (in_range(epoch_ms).cast("decimal(18,0)") / 1000).cast("decimal(18,6)")
+    start = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return start + F.make_dt_interval(secs=seconds)
+
+
+def to_date(epoch_ms: Column) -> Column:
+    return to_timestamp(epoch_ms).cast("date")
 
 
 def utc_text(epoch_ms: Column) -> Column:
-    return F.date_format(to_timestamp(epoch_ms), "yyyy-MM-dd HH:mm:ss")
+    return F.substring(to_timestamp(epoch_ms).cast("string"), 1, 19)
 
 
 def _decimal_parts(value: Column) -> tuple[Column, Column]:

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from usagelens.functions.joins import hint_if_small
 from usagelens.operators import quality
 from usagelens.schemas import FACT_TABLES, QueryError, Star
 
-MAX_ROWS = 100
-
 
 def list_tables(star: Star) -> DataFrame:
     return quality.row_counts(star)
@@ -34,16 +32,29 @@ def show_schema(star: Star, table: str, with_counts: bool = False) -> DataFrame:
     return described.orderBy("position")
 
 
-def run_sql(star: Star, sql: str, max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Any SQL over the star's tables; only as many rows as shown are fetched."""
+def run_sql(star: Star, sql: str, max_rows: int | None = None) -> DataFrame:
+    """Any query over the star's tables; all its rows, unless `max_rows` says otherwise.
+
+    The text is taken as a table expression, so a statement that writes or changes something is no
+    valid SQL there.
+    """
     star.register_views()
+    inner = sql.strip().removesuffix(";")
     try:
-        out = star.dim_employees.sparkSession.sql(sql)
+        out = star.dim_employees.sparkSession.sql(f"SELECT * FROM (\n{inner}\n)")
     except PySparkException as e:
         raise QueryError(str(e)) from e
     return out if max_rows is None else out.limit(max_rows)
 
 
+def fetch_sql(star: Star, sql: str, max_rows: int) -> list[Row]:
+    """The first `max_rows` rows of a query; what fails while it runs is a QueryError too."""
+    try:
+        return run_sql(star, sql, max_rows).collect()
+    except PySparkException as e:
+        raise QueryError(str(e)) from e
+
+
 def to_json_rows(df: DataFrame) -> DataFrame:
     """One JSON text per row: dates as ISO text, binary as hex, NULLs kept."""
     columns = [

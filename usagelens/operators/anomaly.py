@@ -11,8 +11,6 @@ from usagelens.functions.quantiles import quantiles, value_counts
 from usagelens.operators import metrics
 from usagelens.schemas import Star
 
-TOP_LATENCY = 100
-
 
 def _seconds(ms):
     return round_to(ms / F.lit(1000.0), 2)
@@ -20,8 +18,22 @@ def _seconds(ms):
 
 def _flagged_costs(star: Star, z_threshold: float) -> DataFrame:
     requests = star.fact_api_requests.filter(F.col("cost_usd") > 0)
-    stats = requests.agg(
-        F.avg("cost_usd").alias("__mean"), F.stddev_samp("cost_usd").alias("__std")
+    mean = requests.agg(
+        (exact_total(F.col("cost_usd")) / F.count("cost_usd")).alias("__mean"),
+        F.count("cost_usd").alias("__n"),
+    )
+    # Squares are taken relative to the mean, so that their decimals hold them whatever the scale.
+    relative = F.col("cost_usd") / F.col("__mean") - 1
+    spread = requests.crossJoin(F.broadcast(mean)).agg(  # one row
+        F.max("__mean").alias("__mean"),
+        F.max("__n").alias("__n"),
+        exact_total(relative * relative).alias("__squares"),
+    )
+    stats = spread.select(
+        "__mean",
+        F.when(
+            F.col("__n") > 1, F.col("__mean") * F.sqrt(F.col("__squares") / (F.col("__n") - 1))
+        ).alias("__std"),
     )
     z = (F.col("cost_usd") - F.col("__mean")) / F.nullif(F.col("__std"), F.lit(0.0))
     scored = requests.crossJoin(F.broadcast(stats)).withColumn("__z", z)  # one row
@@ -29,7 +41,10 @@ def _flagged_costs(star: Star, z_threshold: float) -> DataFrame:
 
 
 def cost_anomalies(star: Star, z_threshold: float = 3.0) -> DataFrame:
-    """Requests at least `z_threshold` sample standard deviations above the mean positive cost."""
+    """Requests at least `z_threshold` sample standard deviations above the mean positive cost.
+
+    Mean and deviation come from exact totals, so row order and partitioning do not change who is in.
+    """
     return (
         _flagged_costs(star, z_threshold)
         .orderBy(
@@ -60,9 +75,9 @@ def latency_bounds(star: Star, iqr_multiplier: float = 1.5) -> DataFrame:
 
 
 def latency_anomalies(
-    star: Star, iqr_multiplier: float = 1.5, limit: int | None = TOP_LATENCY
+    star: Star, iqr_multiplier: float = 1.5, limit: int | None = None
 ) -> DataFrame:
-    """Tool calls above their tool's limit, longest first; limit=None gives all of them.
+    """Tool calls above their tool's limit, longest first; `limit` keeps the longest only.
 
     The limits are computed first (a few rows, one per tool): their counted size decides whether
     they may be broadcast to the facts.
@@ -92,10 +107,7 @@ def latency_anomalies(
 
 
 def anomaly_summary(star: Star) -> DataFrame:
-    """Counts and extremes of both detectors, aggregated where the data is.
-
-    The latency side looks at the report's top rows, so its count stops at that report's length.
-    """
+    """Counts and extremes of both detectors, over all they find, aggregated where the data is."""
     costs = _flagged_costs(star, 3.0).agg(
         F.count(F.lit(1)).alias("cost_anomaly_count"),
         round_to(

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import (
-    MAX_EPOCH_MS,
-    MIN_EPOCH_MS,
     to_bool,
+    to_date,
     to_double,
     to_int,
     to_long,
@@ -134,7 +133,5 @@ def typed_events(parsed: DataFrame) -> DataFrame:
         f"CASE WHEN stage IS NULL THEN {_by_body({k: k for k in BODIES})} END AS event_kind",
         f"CASE WHEN stage IS NOT NULL THEN '{QUARANTINE_TABLE}' "
         f"ELSE coalesce({_by_body(TABLE_OF_KIND)}, '{UNKNOWN_TABLE}') END AS table",
-        f"CASE WHEN epoch_ms BETWEEN {MIN_EPOCH_MS} AND {MAX_EPOCH_MS} "
-        "THEN to_date(timestamp_millis(epoch_ms)) END AS event_date",
-    )
+    ).withColumn("event_date", to_date(F.col("epoch_ms")))
     return labelled.selectExpr(*[_typed_column(name) for name in TYPED_EVENT.fieldNames()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions.casts import exact_total, percent, round_to, to_timestamp
+from usagelens.functions.casts import exact_total, in_range, percent, round_to, to_timestamp
 from usagelens.functions.joins import rollup_by_employee
 from usagelens.functions.quantiles import mean, mean_of, quantiles
 from usagelens.operators import metrics
@@ -14,6 +14,7 @@ from usagelens.schemas import Star, TelemetryError
 # The model families told apart in cost reports.
 FAMILIES = ("opus", "sonnet", "haiku")
 SENIOR_LEVEL = 7
+HOUR_MS = 3600 * 1000
 
 
 def cost_by_model_family(star: Star, pattern: str = "|".join(FAMILIES)) -> DataFrame:
@@ -47,11 +48,11 @@ def errors_by_hour(star: Star, by: str = "window") -> DataFrame:
     by="window" takes hours along the time line, by="hour_of_day" adds up all days. Events without
     a time form a group of their own.
     """
-    ts = to_timestamp(F.col("epoch_ms"))
+    ms = in_range(F.col("epoch_ms"))
     if by == "window":
-        slot = F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour_start")
+        slot = to_timestamp(ms - F.pmod(ms, F.lit(HOUR_MS))).alias("hour_start")
     elif by == "hour_of_day":
-        slot = F.hour(ts).alias("hour_of_day")
+        slot = F.floor(F.pmod(ms, F.lit(24 * HOUR_MS)) / HOUR_MS).cast("int").alias("hour_of_day")
     else:
         raise TelemetryError(f"unknown grouping '{by}': use 'window' or 'hour_of_day'")
     name = "hour_start" if by == "window" else "hour_of_day"

@@ -194,9 +194,10 @@ def tool_usage_frequency(star: Star, basis: str = "all") -> DataFrame:
 
 def tool_success_rates(star: Star) -> DataFrame:
     results = star.fact_tool_usage.filter(F.col("is_success").isNotNull())
-    counts = value_counts(
-        results, ["tool_name"], "duration_ms", F.count_if(F.col("is_success")).alias("ok")
-    )
+    # Success is a key of the counts, not one more aggregate: that would be pruned from one of the two
+    # places that read them, and the counts be computed twice.
+    counts = value_counts(results, ["tool_name", "is_success"], "duration_ms")
+    counts = counts.withColumn("ok", F.when(F.col("is_success"), F.col("n")).otherwise(F.lit(0)))
     sums = {"total_results": (F.sum, F.col("n")), "success_count": (F.sum, F.col("ok"))}
     out = quantiles(
         counts, ["tool_name"], "duration_ms", {"p95": 0.95}, sums | mean_of("duration_ms")

@@ -16,32 +16,38 @@ from usagelens.functions.casts import blank_to_null, to_long
 from usagelens.schemas import ATTRIBUTE_KEYS, BATCH, EVENT, STAGING_COLUMNS, struct
 from usagelens.sources.logs import clean_lines
 
+# What follows every text; a text that holds it and ends the array itself could still pass.
+END_MARK = "__usagelens_end_of_text"
+
+
 def _decode(text: str, schema: T.StructType) -> str:
     """Column __p: an array of the one JSON object in `text`, or something else if malformed.
 
     The JSON reader stops after the first value and would accept `{...} garbage`. Inside an array
-    it has to read on, so anything after the object makes the array malformed or longer.
+    it has to read on, and the array has to end with the mark that follows the text: garbage after
+    the object makes it malformed or longer, and a text that closes it early leaves the mark unread.
 
     The explode of one value keeps a row a row. It is there because filters are not pushed through
     it: through a plain projection they would be, and decode the text once more per filter.
     """
+    marked = T.StructType([*schema.fields, T.StructField(END_MARK, T.BooleanType())])
+    mark = f',{{"{END_MARK}":true}}]'
     decoded = (
-        f"from_json(concat('[', {text}, ']'), 'ARRAY<{schema.simpleString()}>', "
+        f"from_json(concat('[', {text}, '{mark}'), 'ARRAY<{marked.simpleString()}>', "
         "map('allowSingleQuotes', 'false'))"
     )
     return f"explode(array({decoded})) AS __p"
 
 
-def _is_single(parsed: str, text: str) -> str:
-    # the last test rules out `{...}] ...`, which would close the array early
-    closed = rf"(endswith({text}, '}}') OR {text} RLIKE '}}\\s*$')"
-    return f"coalesce(size({parsed}) = 1 AND {closed}, false)"
+def _is_single(parsed: str) -> str:
+    one = f"size({parsed}) = 2 AND get({parsed}, 0) IS NOT NULL AND get({parsed}, 0).{END_MARK} IS NULL"
+    return f"coalesce({one} AND get({parsed}, 1).{END_MARK}, false)"
 
 
 def parse_batch(lines: DataFrame) -> DataFrame:
     """Decode each line into `batch`; undecodable lines get a reason instead."""
     parsed = lines.selectExpr("value", _decode("value", BATCH))
-    ok = _is_single("__p", "value")
+    ok = _is_single("__p")
     return parsed.selectExpr(
         "value",
         f"CASE WHEN {ok} THEN get(__p, 0) END AS batch",
@@ -84,7 +90,7 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
         f"{blank_to_null('event.timestamp')} AS time_text",
         _decode(text, _message_schema(extra_attributes)),
     )
-    ok = _is_single("__p", text)
+    ok = _is_single("__p")
     judged = parsed.selectExpr(
         "line",
         "event",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions.casts import exact_total, to_timestamp
+from usagelens.functions.casts import exact_total, to_date
 from usagelens.operators.facts import safe_cast
 from usagelens.schemas import BODIES, FACT_TABLES, DuplicateKeyError, Star
 
@@ -53,11 +53,8 @@ def orphan_emails(star: Star) -> DataFrame:
     Emails are made distinct first, so a user with many rows is shuffled to the join once. Where the
     dimension is small enough to broadcast, Spark looks the emails up before that instead.
     """
-    used = [
-        star.table(t).select(F.lit(t).alias("table_name"), "user_email").distinct()
-        for t in FACT_TABLES
-    ]
-    pairs = reduce(DataFrame.unionByName, used).filter(F.col("user_email") != "")
+    used = [star.table(t).select(F.lit(t).alias("table_name"), "user_email") for t in FACT_TABLES]
+    pairs = reduce(DataFrame.unionByName, used).filter(F.col("user_email") != "").distinct()
     known = star.dim_employees.select("email")
     return pairs.join(known, pairs["user_email"] == known["email"], "left_anti")
 
@@ -99,7 +96,7 @@ def event_counts_by_body(stg: DataFrame) -> DataFrame:
 def event_totals(stg: DataFrame) -> DataFrame:
     """Event count, simulated cost of all requests, first and last day."""
     cost = F.when(F.col("body") == BODIES["api_request"], F.expr(safe_cast("cost_usd")))
-    day = F.to_date(to_timestamp(F.col("epoch_ms")))
+    day = to_date(F.col("epoch_ms"))
     return stg.select(cost.alias("cost_usd"), day.alias("day")).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.coalesce(exact_total(F.col("cost_usd")), F.lit(0.0)).alias("total_cost"),

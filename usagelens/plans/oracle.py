@@ -15,7 +15,7 @@ _TABLES = """
 dim_employees AS (
   SELECT concat('user', c_custkey, '@example.com') AS email, c_name AS full_name,
     c_mktsegment AS practice, concat('L', c_nationkey % 10 + 1) AS level, n_name AS location
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 20 <> 7),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 kinds AS (
   SELECT *, CASE event_type WHEN 'view' THEN 'api_request' WHEN 'click' THEN 'tool_decision'
     WHEN 'purchase' THEN 'tool_result' WHEN 'error' THEN 'api_error' ELSE 'user_prompt' END AS kind
@@ -24,7 +24,8 @@ all_stg AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, kind, epoch_us(ts) // 1000 AS epoch_ms,
     CASE kind {bodies} END AS body,
     concat('s', user_id, '-', CAST(ts AS DATE)) AS session_id,
-    CASE WHEN event_id % 89 = 0 THEN NULL ELSE concat('user', user_id, '@example.com') END AS user_email,
+    CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 7 THEN concat('guest', user_id, '@example.com')
+      ELSE concat('user', user_id, '@example.com') END AS user_email,
     kind AS event_name,
     CASE WHEN event_id % 61 = 0 THEN NULL ELSE concat('model-', event_id % 5) END AS model,
     CASE WHEN event_id % 97 = 0 THEN 'not_a_number' ELSE CAST(value AS VARCHAR) END AS cost_usd,

@@ -648,7 +648,7 @@ on_star("cost_anomalies", anomaly.cost_anomalies, over(_COST_ANOMALIES))
 on_star(
     "latency_anomalies",
     anomaly.latency_anomalies,
-    over(f"SELECT * FROM ({_LATENCY_ANOMALIES}) {_BY_LATENCY} LIMIT 100"),
+    over(_LATENCY_ANOMALIES),
 )
 on_star(
     "latency_anomalies_all",
@@ -674,7 +674,7 @@ on_star(
             AS total_anomalous_cost_usd FROM ({_COST_ANOMALIES})) c,
         (SELECT count(*) AS latency_anomaly_count,
             round(coalesce(max(duration_sec), 0.0), 1) AS max_latency_sec
-            FROM (SELECT * FROM ({_LATENCY_ANOMALIES}) {_BY_LATENCY} LIMIT 100)) l"""
+            FROM ({_LATENCY_ANOMALIES})) l"""
     ),
 )
 

@@ -38,8 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dim_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     return (
-        customer.filter("c_custkey % 20 <> 7")
-        .join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+        customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
         .selectExpr(
             "concat('user', c_custkey, '@example.com') AS email",
             "c_name AS full_name",
@@ -67,6 +66,20 @@ def events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     return rows.filter(wanted)
 
 
+def _epoch_ms() -> str:
+    """`ts` has no zone and is taken as UTC."""
+    since = "CAST(ts - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    return f"CAST(floor(CAST({since} AS DECIMAL(20, 6)) * 1000) AS BIGINT)"
+
+
+def _user(row_id: str = "event_id") -> str:
+    """Some events have no address, some one that no employee has."""
+    return (
+        f"CASE WHEN {row_id} % 89 = 0 THEN NULL WHEN {row_id} % 83 = 7 "
+        "THEN concat('guest', user_id, '@example.com') ELSE concat('user', user_id, '@example.com') END"
+    )
+
+
 def staged_events(rows: DataFrame) -> DataFrame:
     """The staging columns, computed straight from the event rows (no JSON in between)."""
     status = (
@@ -75,11 +88,10 @@ def staged_events(rows: DataFrame) -> DataFrame:
     )
     return rows.selectExpr(
         "CAST(event_id AS STRING) AS event_id",
-        "unix_millis(CAST(ts AS TIMESTAMP)) AS epoch_ms",
+        f"{_epoch_ms()} AS epoch_ms",
         f"{_by_event_type(BODIES)} AS body",
         "concat('s', user_id, '-', CAST(ts AS DATE)) AS session_id",
-        "CASE WHEN event_id % 89 <> 0 THEN concat('user', user_id, '@example.com') END"
-        " AS user_email",
+        f"{_user()} AS user_email",
         f"{_by_event_type({kind: kind for kind in BODIES})} AS event_name",
         "CASE WHEN event_id % 61 <> 0 THEN concat('model-', event_id % 5) END AS model",
         "CASE WHEN event_id % 97 = 0 THEN 'not_a_number' ELSE CAST(value AS STRING) END"

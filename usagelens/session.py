@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,7 +11,6 @@ from pyspark.sql import SparkSession
 from usagelens.schemas import TelemetryError
 
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split hot join keys even where the next step could have reused the join's partitioning
@@ -29,11 +29,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a private one only for unconfigured local runs."""
+    """The folder named in spark.checkpoint.dir; one of its own only where a single machine runs all."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path is None:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local($|\[)", sc.master):
             raise TelemetryError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="usagelens-")
     if sc.getCheckpointDir() is None:

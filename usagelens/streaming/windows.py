@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions.casts import exact_total, to_timestamp
+from usagelens.functions.casts import exact_total, to_instant, to_timestamp
 
 
 def windowed_kpis(events: DataFrame, width: str = "1 hour", lateness: str | None = None) -> DataFrame:
@@ -15,7 +15,7 @@ def windowed_kpis(events: DataFrame, width: str = "1 hour", lateness: str | None
     delay can still reach it. All aggregates combine on the map side, so a hot hour costs one row
     per task. Events without a time belong to no window.
     """
-    timed = events.withColumn("event_ts", to_timestamp(F.col("epoch_ms"))).filter(
+    timed = events.withColumn("event_ts", to_instant(F.col("epoch_ms"))).filter(
         F.col("event_ts").isNotNull() & F.col("table").isin("fact_api_requests", "fact_api_errors")
     )
     if lateness is not None:
@@ -28,8 +28,8 @@ def windowed_kpis(events: DataFrame, width: str = "1 hour", lateness: str | None
         F.count_if(~is_request).alias("error_count"),
     )
     return kpis.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        to_timestamp(F.unix_millis("window.start")).alias("window_start"),
+        to_timestamp(F.unix_millis("window.end")).alias("window_end"),
         "total_cost",
         "total_tokens",
         "request_count",
