@@ -1,5 +1,7 @@
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from usagelens.functions import casts
@@ -57,3 +59,16 @@ def test_times_outside_the_calendar_become_null(spark):
     df = spark.createDataFrame([(1700000000999,), (9 * 10**18,), (None,)], "ms BIGINT")
     got = [r[0] for r in df.select(casts.utc_text(F.col("ms"))).collect()]
     assert got == ["2023-11-14 22:13:20", None, None]
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.data())
+def test_rounding_agrees_with_the_checked_engine(spark, data):
+    digits = st.text("0123456789", min_size=1, max_size=30)
+    whole = st.integers(-(10**15), 10**15)
+    texts = data.draw(st.lists(st.builds(lambda w, d: f"{w}.{d}", whole, digits), min_size=300, max_size=300))
+    texts += ["0.49999999999", "1234.49999999999", "-0.5", "0.5", "2.49999999999999999999999999999", "1e3", "1.5e0", "25e-1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    ours = [r[0] for r in df.selectExpr(f"{casts.to_long('t')} AS n").collect()]
+    theirs = [duckdb.execute("SELECT TRY_CAST(? AS BIGINT)", [t]).fetchone()[0] for t in texts]
+    assert ours == theirs

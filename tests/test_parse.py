@@ -163,3 +163,9 @@ def test_log_batches_round_trip(spark, tmp_path):
     assert (batches[0]["year"], batches[0]["month"], batches[0]["day"]) == (2023, 11, 14)
     back = parse.stage_events(parse.parse_lines(lines)).select("event_id", "epoch_ms", "body")
     assert sorted(rows_of(back)) == sorted((i, t, json.loads(m)["body"]) for i, t, m in rows)
+
+
+@pytest.mark.parametrize("tail", ["] junk }", "]}", "] }", "}", " {}", ",{}", "] junk", "]", ' ]{"a":1}'])
+def test_text_after_the_object_makes_it_malformed(spark, tail):
+    text = line(event({"body": "x"})) + tail
+    assert parse.parse_batch(spark.createDataFrame([(text,)], "value STRING")).first()["batch_error"] == "malformed line"

@@ -1,10 +1,12 @@
 
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tests.test_parse import event, line
-from usagelens.operators import facts, parse
+from usagelens.operators import anomaly, facts, findings, parse
 from usagelens.schemas import BODIES, CONTRACT
 from usagelens.sources import star
 from usagelens.streaming import ingest, upsert, windows
@@ -51,9 +53,10 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     (folder / "c.jsonl").write_text(line(request(4)) + "\n")
     ingest.stream_ingest(lines, out, checkpoint).awaitTermination()
     assert same(star.read_events(spark, out), facts.typed_events(parse.parse_lines(spark.read.text(str(folder)))))
-    dim = spark.createDataFrame([], CONTRACT["dim_employees"])
-    loaded = star.star_from_events(dim, star.read_events(spark, out))
-    assert loaded.fact_api_requests.count() == 4
+    loaded = star.read_star(spark, out)
+    assert loaded.fact_api_requests.count() == 4 and loaded.dim_employees.count() == 0
+    star.compact(spark, out)
+    assert star.read_star(spark, out).fact_api_requests.count() == 4
 
 
 def test_upsert_adds_only_unseen_events(spark, tmp_path):
@@ -70,12 +73,91 @@ def test_upsert_adds_only_unseen_events(spark, tmp_path):
 
 def test_upsert_reads_only_the_days_it_needs(spark, tmp_path):
     path = str(tmp_path / "events")
-    upsert.incremental_upsert(typed(spark, request(1), request(2, T0 + 48 * HOUR)), path)
-    delta = typed(spark, request(1))
-    days = upsert._touched_days(star.read_events(spark, path), delta)
-    assert [r["event_id"] for r in days.collect()] == ["r1"]
-    plan = days._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
+    days = [request(i, T0 + 24 * i * HOUR) for i in range(20)]
+    upsert.incremental_upsert(typed(spark, *days), path)
+    delta = typed(spark, request(0), request(19, T0 + 19 * 24 * HOUR))
+    touched = upsert._touched_days(star.read_events(spark, path), delta)
+    assert sorted(r["event_id"] for r in touched.collect()) == ["r0", "r19"]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+
+
+def broken(i):
+    return {**request(i), "message": "{"}
+
+
+@pytest.mark.parametrize("order", ["bad first", "good first", "one delta", "one delta, bad last"])
+def test_a_rejected_event_never_blocks_its_repair(spark, tmp_path, order):
+    root = str(tmp_path / "star")
+    deltas = {
+        "bad first": [[broken(1)], [request(1)], [broken(1)]],
+        "good first": [[request(1)], [broken(1)]],
+        "one delta": [[broken(1), request(1)]],
+        "one delta, bad last": [[request(1), broken(1)]],
+    }[order]
+    for delta in deltas:
+        upsert.incremental_upsert(typed(spark, *delta), root)
+    assert star.read_star(spark, root).fact_api_requests.count() == 1
+    rejected = [r.event_id for r in star.read_quarantine(spark, root).collect()]
+    assert rejected == (["r1"] if order == "bad first" else [])
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(["load", "stream", "upsert"])))
+def test_all_writers_share_one_star(spark, folder, tmp_path, order):
+    root = str(tmp_path / "star")
+    expected = set()
+    for step in order:
+        if step == "load":
+            # a load starts anew
+            star.write_star(spark.createDataFrame([], CONTRACT["dim_employees"]), typed(spark, request(7)), root)
+            expected = {"r7"}
+        elif step == "stream":
+            lines = ingest.stream_lines(spark, str(folder), files_per_trigger=1)
+            ingest.stream_ingest(lines, root, str(tmp_path / "ckpt")).awaitTermination()
+            expected |= {"r1", "r2", "r3", "x1"}
+        else:
+            upsert.incremental_upsert(typed(spark, request(1 if "r1" in expected else 8), request(9)), root)
+            expected |= {"r9"} if "r1" in expected else {"r8", "r9"}
+    ids = [r.event_id for r in star.read_events(spark, root).filter("event_id IS NOT NULL").collect()]
+    assert sorted(ids) == sorted(expected)
+
+
+def test_unfinished_parts_are_not_seen_and_retries_count_once(spark, tmp_path):
+    root = str(tmp_path / "star")
+    star.append_part(typed(spark, request(1)), root, "a")
+    version = star.current_version(spark, root)
+    star.write_events(typed(spark, request(2)), f"{star.events_path(root, version)}/part=b", "overwrite")
+    star.append_part(typed(spark, request(3)), root, "a")
+    assert [r.event_id for r in star.read_events(spark, root).collect()] == ["r1"]
+    star.append_part(typed(spark, request(4)), root, "b")
+    assert sorted(r.event_id for r in star.read_events(spark, root).collect()) == ["r1", "r4"]
+
+
+def test_staged_deltas_are_removed(spark, tmp_path, monkeypatch):
+    staged = str(tmp_path / "delta")
+    monkeypatch.setattr(upsert, "scratch_path", lambda *_: staged)
+    upsert.incremental_upsert(typed(spark, request(1)), str(tmp_path / "star"))
+    assert not (tmp_path / "delta").exists()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Kolkata"])
+def test_times_do_not_follow_the_session_zone(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    root = str(tmp_path / "star")
+    upsert.incremental_upsert(typed(spark, request(1), error(1)), root)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        upsert.incremental_upsert(typed(spark, request(1), error(1)), root)
+        loaded = star.read_star(spark, root)
+        assert loaded.fact_api_requests.count() == 1
+        kpis = windows.windowed_kpis(star.read_events(spark, root))
+        assert [str(r.window_start) for r in kpis.collect()] == ["2023-11-14 23:00:00"]
+        assert [str(r.hour_start) for r in findings.errors_by_hour(loaded).collect()] == ["2023-11-14 23:00:00"]
+        costs = anomaly.cost_anomalies(loaded, -1.0).collect()
+        assert [r.timestamp for r in costs] in ([], ["2023-11-14 23:00:00"])
+        assert spark.conf.get("spark.sql.session.timeZone") == zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_stream_upsert_survives_replayed_files(spark, folder, tmp_path):

@@ -28,7 +28,7 @@ def load_star(
 def load_report(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
     """Where every input row went, from the written tables: (table_name, detail, row_count)."""
     version = version or star.current_version(spark, root)
-    events = star.read_events(spark, star.events_path(root, version))
+    events = star.read_events(spark, root, version)
     detail = F.when(F.col("table") == QUARANTINE_TABLE, F.col("stage")).when(
         F.col("table") == UNKNOWN_TABLE, F.col("body")
     )

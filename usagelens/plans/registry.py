@@ -797,11 +797,34 @@ on_star(
 def _(spark, sf):
     root = scratch_path(spark, "stream")
     lines = stream.stream_lines(spark, sample_data.raw_files(spark, sf))
-    run = stream.stream_ingest(
-        lines, star.events_path(root, "live"), f"{root}/checkpoint", star.BY_TABLE
-    )
-    run.awaitTermination()
-    return ingest.load_report(spark, root, "live")
+    stream.stream_ingest(lines, root, f"{root}/checkpoint", star.BY_TABLE).awaitTermination()
+    return ingest.load_report(spark, root)
+
+
+@query("mixed_writes", LOAD_REPORT)
+def _(spark, sf):
+    # the load, then a stream of the same files through the upsert, then a repeated delta
+    root = _load(spark, sf)
+    lines = stream.stream_lines(spark, sample_data.raw_files(spark, sf))
+    upsert.stream_upsert(
+        lines.filter("value LIKE '%logEvents%'"), root, f"{root}/checkpoint", star.BY_TABLE
+    ).awaitTermination()
+    with_id = facts.typed_events(_parsed(spark, sf)).filter("event_id IS NOT NULL")
+    upsert.incremental_upsert(with_id, root, star.BY_TABLE)
+    return ingest.load_report(spark, root)
+
+
+@query("without_repeats", over("SELECT kind AS event_kind, count(*) AS row_count FROM stg GROUP BY kind", where=f"NOT {BROKEN}"))
+def _(spark, sf):
+    # every line twice, in one stream
+    root = scratch_path(spark, "repeats")
+    lines = stream.stream_lines(spark, sample_data.raw_files(spark, sf))
+    twice = lines.select(F.explode(F.array("value", "value")).alias("value"))
+    once = stream.without_repeats(stream.stream_events(twice), "10 days")
+    run = once.writeStream.format("parquet").option("path", f"{root}/out")
+    run.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    good = spark.read.schema(once.schema).parquet(f"{root}/out").filter("stage IS NULL")
+    return good.groupBy("event_kind").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query(
@@ -809,16 +832,17 @@ def _(spark, sf):
     over(
         """SELECT kind AS event_kind, count(*) AS row_count, count(DISTINCT event_id) AS ids
         FROM stg GROUP BY kind""",
-        where=f"NOT {BROKEN}",
     ),
 )
 def _(spark, sf):
-    # the even events first, then all of them: the second delivery repeats half of its ids
-    path = f"{scratch_path(spark, 'upsert')}/events"
-    everything = facts.typed_events(_parsed(spark, sf)).filter(F.col("stage").isNull())
-    upsert.incremental_upsert(everything.filter("event_id % 2 = 0"), path, star.BY_TABLE)
-    upsert.incremental_upsert(everything, path, star.BY_TABLE)
-    loaded = star.read_events(spark, path)
+    # the even events as they are, then all of them, some of them broken, then all of them repaired
+    root = scratch_path(spark, "upsert")
+    parsed = facts.typed_events(_parsed(spark, sf)).filter("event_id IS NOT NULL")
+    upsert.incremental_upsert(parsed.filter("event_id % 2 = 0"), root, star.BY_TABLE)
+    upsert.incremental_upsert(parsed, root, star.BY_TABLE)
+    lines = logs.to_log_batches(sample_data.messages(spark, sf, broken=False))
+    upsert.incremental_upsert(facts.typed_events(parse.parse_lines(lines)), root, star.BY_TABLE)
+    loaded = star.read_events(spark, root).filter("stage IS NULL")
     return loaded.groupBy("event_kind").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("event_id").alias("ids")
     )

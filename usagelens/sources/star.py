@@ -1,21 +1,22 @@
 """The star schema on disk.
 
-    <root>/commits/                          one row per finished load
+    <root>/commits/                          one row per finished write
     <root>/versions/<v>/dim_employees/
-    <root>/versions/<v>/events/table=<t>/event_date=<d>/    (or without the day level)
+    <root>/versions/<v>/events/part=<p>/table=<t>/event_date=<d>/    (or without the day level)
 
-All event tables share one directory tree and are written by one job. A load becomes visible with
-its row in `commits`, written last, so readers never see half of one.
+Loads, streams and upserts all write parts: a part is one directory tree with all event tables, written by
+one job. It becomes visible with its row in `commits`, written last, so readers never see half of one. A
+load starts a new version; a stream or upsert adds a part to the newest. One writer at a time per root.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.schemas import (
     CONTRACT,
@@ -31,7 +32,7 @@ from usagelens.schemas import (
 DAILY = ("table", "event_date")
 # for volumes where a day would make a tiny file
 BY_TABLE = ("table",)
-COMMIT = struct(version="string")
+COMMIT = struct(seq="bigint", version="string", part="string")
 
 
 def events_path(root: str, version: str) -> str:
@@ -50,35 +51,85 @@ def write_events(
     balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """(seq, version, part) of every finished write; empty where nothing was written yet."""
+    try:
+        return spark.read.schema(COMMIT).parquet(f"{root}/commits")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], COMMIT)
+        raise
+
+
+def _commit(spark: SparkSession, root: str, seq: int, version: str, part: str) -> None:
+    row = spark.createDataFrame([(seq, version, part)], COMMIT).coalesce(1)
+    row.write.mode("append").parquet(f"{root}/commits")
+
+
+def _next_seq(spark: SparkSession, root: str) -> int:
+    """Writes are numbered, so a clock that runs behind can't hide one."""
+    return (commits(spark, root).agg(F.max("seq")).first()[0] or 0) + 1
+
+
+def _part_path(root: str, version: str, part: str) -> str:
+    return f"{events_path(root, version)}/part={part}"
+
+
 def write_star(
     dim: DataFrame, events: DataFrame, root: str, partition_by: tuple[str, ...] = DAILY
 ) -> str:
     """Full rebuild from typed events; returns the new version."""
     spark = dim.sparkSession
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    seq = _next_seq(spark, root)
+    version = f"{seq:012d}-{uuid.uuid4().hex[:8]}"
     dim.write.mode("overwrite").parquet(f"{root}/versions/{version}/dim_employees")
-    write_events(events, events_path(root, version), "overwrite", partition_by)
-    commit = spark.range(1).selectExpr(f"'{version}' AS version").coalesce(1)
-    commit.write.mode("append").parquet(f"{root}/commits")
+    write_events(events, _part_path(root, version, "load"), "overwrite", partition_by)
+    _commit(spark, root, seq, version, "load")
     return version
 
 
+def append_part(
+    events: DataFrame, root: str, part: str | None = None, partition_by: tuple[str, ...] = DAILY
+) -> None:
+    """Add typed events to the newest version, or to a new one without employees.
+
+    A part that is committed already is left as it is, so a batch retried under its name counts once.
+    """
+    spark = events.sparkSession
+    if commits(spark, root).isEmpty():
+        nobody = spark.createDataFrame([], CONTRACT["dim_employees"])
+        write_star(nobody, spark.createDataFrame([], TYPED_EVENT), root, partition_by)
+    part = part or uuid.uuid4().hex
+    if not commits(spark, root).filter(F.col("part") == part).isEmpty():
+        return
+    version = current_version(spark, root)
+    write_events(events, _part_path(root, version, part), "overwrite", partition_by)
+    _commit(spark, root, _next_seq(spark, root), version, part)
+
+
+def compact(spark: SparkSession, root: str, partition_by: tuple[str, ...] = DAILY) -> str:
+    """Write the newest version's parts as one, as a new version. No stream may run meanwhile."""
+    dim = read_star(spark, root).dim_employees
+    return write_star(dim, read_events(spark, root), root, partition_by)
+
+
 def current_version(spark: SparkSession, root: str) -> str:
-    try:
-        commits = spark.read.schema(COMMIT).parquet(f"{root}/commits")
-        version = commits.agg(F.max("version")).first()[0]
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise MissingSourceError(f"no star at {root}: run the load first") from e
-        raise
-    if version is None:
-        raise MissingSourceError(f"no finished load at {root}")
-    return version
+    newest = commits(spark, root).agg(F.max_by("version", "seq")).first()[0]
+    if newest is None:
+        raise MissingSourceError(f"no finished load at {root}: run the load first")
+    return newest
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """All typed events; a filter on `table` or `event_date` reads only those directories."""
-    return spark.read.schema(TYPED_EVENT).parquet(path)
+def read_events(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """All typed events; a filter on `table` or `event_date` reads only those directories.
+
+    Only committed parts are read. Their names pass through the driver, one for each write since the last load.
+    """
+    version = version or current_version(spark, root)
+    parts = [r.part for r in commits(spark, root).filter(F.col("version") == version).collect()]
+    schema = T.StructType([*TYPED_EVENT.fields, T.StructField("part", T.StringType())])
+    events = spark.read.schema(schema).parquet(events_path(root, version))
+    return events.filter(F.col("part").isin(parts)).drop("part")
 
 
 def _of_table(events: DataFrame, name: str) -> DataFrame:
@@ -95,12 +146,12 @@ def read_star(spark: SparkSession, root: str, version: str | None = None) -> Sta
     version = version or current_version(spark, root)
     path = f"{root}/versions/{version}/dim_employees"
     dim = spark.read.schema(CONTRACT["dim_employees"]).parquet(path)
-    return star_from_events(dim, read_events(spark, events_path(root, version)))
+    return star_from_events(dim, read_events(spark, root, version))
 
 
 def read_quarantine(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
     version = version or current_version(spark, root)
-    rejected = read_events(spark, events_path(root, version)).filter(
+    rejected = read_events(spark, root, version).filter(
         F.col("table") == QUARANTINE_TABLE
     )
     return rejected.select("stage", "reason", "raw", "event_id")
@@ -108,5 +159,5 @@ def read_quarantine(spark: SparkSession, root: str, version: str | None = None)
 
 def read_unknown(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
     version = version or current_version(spark, root)
-    events = read_events(spark, events_path(root, version))
+    events = read_events(spark, root, version)
     return events.filter(F.col("table") == UNKNOWN_TABLE).select("body", "event_id", "epoch_ms")

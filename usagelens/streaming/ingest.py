@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from usagelens.functions.casts import to_instant
 from usagelens.operators import facts, parse
-from usagelens.sources.star import DAILY
+from usagelens.sources.star import DAILY, append_part
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -21,25 +25,46 @@ def stream_events(lines: DataFrame) -> DataFrame:
     return facts.typed_events(parse.parse_lines(lines))
 
 
+def part_name(checkpoint: str, batch_id: int) -> str:
+    """One name for a micro-batch, also when it is retried after a failure."""
+    return f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{batch_id:010d}"
+
+
 def stream_ingest(
     lines: DataFrame,
-    out: str,
+    root: str,
     checkpoint: str,
     partition_by: tuple[str, ...] = DAILY,
     **trigger,
 ) -> StreamingQuery:
-    """Append typed events to the partitioned event tree, exactly once.
+    """Append typed events to the star at `root`, exactly once, a part for each micro-batch.
 
-    Stateless: nothing is shuffled and no event is dropped for being late. Read the result from
-    its root (`read_events`), which honours the sink's log of committed files.
+    No event is dropped for being late. Each batch is balanced into files of a sensible size; many small
+    batches are joined by `star.compact`.
     """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        events = facts.typed_events(parse.parse_lines(batch))
+        append_part(events, root, part_name(checkpoint, batch_id), partition_by)
+
     return (
-        stream_events(lines)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*partition_by)
-        .option("path", out)
+        lines.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def without_repeats(events: DataFrame, lateness: str) -> DataFrame:
+    """A stream of typed events without those whose id came within `lateness` before, in bounded state.
+
+    Events without an id or a time can't be told apart or bounded; they all pass. Good and rejected rows are
+    told apart, so a rejected event does not keep its repaired form out.
+    """
+    timed = F.col("event_id").isNotNull() & to_instant(F.col("epoch_ms")).isNotNull()
+    rest = events.filter(~timed)
+    known = events.filter(timed).withColumns(
+        {"event_ts": to_instant(F.col("epoch_ms")), "is_good": F.col("stage").isNull()}
+    )
+    once = known.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["event_id", "is_good"])
+    return once.drop("event_ts", "is_good").unionByName(rest)

@@ -1,100 +1,96 @@
-"""Adding a delta to the event tree without loading any event twice."""
+"""Adding a delta to the star without loading any event twice."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from usagelens.functions.joins import hint_if_small, settle
 from usagelens.operators import facts, parse
+from usagelens.schemas import TYPED_EVENT
 from usagelens.session import scratch_path
-from usagelens.sources.star import DAILY, read_events, write_events
+from usagelens.sources.star import DAILY, append_part, commits, read_events
+from usagelens.streaming.ingest import part_name
+
+
+def _is_bad() -> Column:
+    return F.col("stage").isNotNull()
 
 
 def one_per_id(events: DataFrame) -> DataFrame:
-    """Drop repeated event ids; events without an id are all kept.
+    """One row for each event id, a good one before a rejected one; events without an id are all kept.
 
-    An id names one immutable event, so which copy stays does not matter. Only ids are shuffled to
-    find the repeats, and then only the rows of repeated ids; the others stay where they are.
+    Which of several good rows stays depends on their values only. The least row is found by an aggregate
+    that combines before the shuffle, so an id that repeats a million times is one row a task.
     """
-    counts = events.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
-    repeated = counts.filter("event_id IS NOT NULL AND n > 1").select(F.col("event_id").alias("__id"))
-    repeated = settle(repeated)
-    if repeated.isEmpty():
-        return events
-    repeated = hint_if_small(repeated)
-    same = F.col("event_id") == F.col("__id")
-    once = events.join(repeated, same, "left_anti")
-    return once.unionByName(
-        events.join(repeated, same, "left_semi").dropDuplicates(["event_id"])
-    )
+    columns = TYPED_EVENT.fieldNames()
+    row = F.struct(_is_bad().alias("bad"), F.col("epoch_ms").alias("ms"), F.struct(*columns).alias("row"))
+    with_id = events.filter("event_id IS NOT NULL").groupBy("event_id").agg(F.min(row).alias("least"))
+    once = with_id.select("least.row.*")
+    return once.unionByName(events.filter("event_id IS NULL").select(*columns))
 
 
 def new_events(delta: DataFrame, loaded: DataFrame) -> DataFrame:
     """Delta events whose id is not loaded yet.
 
-    A repeated delivery carries the same timestamp, hence the same day: comparing day and id lets
-    the caller read only the days the delta touches.
+    A repeated delivery carries the same timestamp, hence the same day: comparing day and id lets the caller
+    read only the days the delta touches. A loaded rejected row keeps out its repetition, not its repair.
     """
-    known = loaded.select(F.col("event_id").alias("__id"), F.col("event_date").alias("__day"))
+    stored = (
+        loaded.filter("event_id IS NOT NULL")
+        .groupBy(F.col("event_id").alias("__id"), F.col("event_date").alias("__day"))
+        .agg(F.bool_or(~_is_bad()).alias("__good"))
+    )
     same = (F.col("event_id") == F.col("__id")) & F.col("event_date").eqNullSafe(F.col("__day"))
-    seen = settle(known.join(delta.select("event_id", "event_date"), same, "left_semi"))
-    if not seen.isEmpty():
-        delta = delta.join(hint_if_small(seen), same, "left_anti")
-    return one_per_id(delta)
+    return one_per_id(delta).join(stored, same & (F.col("__good") | _is_bad()), "left_anti")
 
 
 def _touched_days(loaded: DataFrame, delta: DataFrame) -> DataFrame:
-    span = delta.agg(
-        F.min("event_date").alias("lo"),
-        F.max("event_date").alias("hi"),
-        F.count_if(F.col("event_date").isNull()).alias("undated"),
-    ).first()
+    """The loaded rows of exactly the days that occur in the delta; one value a day reaches the driver."""
+    days = [r.event_date for r in delta.select("event_date").distinct().collect()]
     day = F.col("event_date")
-    keep = F.lit(False) if span["lo"] is None else day.between(span["lo"], span["hi"])
-    if span["undated"]:
-        keep = F.coalesce(keep, F.lit(False)) | day.isNull()
-    return loaded.filter(keep)
+    keep = day.isin([d for d in days if d is not None])
+    return loaded.filter(keep | day.isNull() if None in days else keep)
+
+
+def _remove(spark, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def incremental_upsert(
-    delta: DataFrame, path: str, partition_by: tuple[str, ...] = DAILY
+    delta: DataFrame, root: str, partition_by: tuple[str, ...] = DAILY, part: str | None = None
 ) -> None:
-    """Append the unseen events of `delta` (typed events) to the tree at `path`.
+    """Add the unseen events of `delta` (typed events) to the star at `root`, all of them or none.
 
     Running it again with the same delta adds nothing but rejected events that carry no id.
     """
     spark = delta.sparkSession
     staged = scratch_path(spark, "delta")
-    delta.write.parquet(staged)  # parsed once; read for its span and for the comparison
-    delta = read_events(spark, staged)
+    delta.write.parquet(staged)  # parsed once; read for its days and for the comparison
     try:
-        loaded = read_events(spark, path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        fresh = one_per_id(delta)
-    else:
-        fresh = new_events(delta, _touched_days(loaded, delta))
-    write_events(fresh, path, "append", partition_by)
+        delta = spark.read.schema(TYPED_EVENT).parquet(staged)
+        if commits(spark, root).isEmpty():
+            fresh = one_per_id(delta)
+        else:
+            fresh = new_events(delta, _touched_days(read_events(spark, root), delta))
+        append_part(fresh, root, part, partition_by)
+    finally:
+        _remove(spark, staged)
 
 
 def stream_upsert(
     lines: DataFrame,
-    path: str,
+    root: str,
     checkpoint: str,
     partition_by: tuple[str, ...] = DAILY,
     **trigger,
 ) -> StreamingQuery:
-    """Micro-batch upsert, exact however late a repeat arrives.
-
-    A batch retried after a failure adds nothing that has an id; see `incremental_upsert`.
-    """
+    """Micro-batch upsert, exact however late a repeat arrives; a batch retried after a failure counts once."""
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        incremental_upsert(facts.typed_events(parse.parse_lines(batch)), path, partition_by)
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        events = facts.typed_events(parse.parse_lines(batch))
+        incremental_upsert(events, root, partition_by, part_name(checkpoint, batch_id))
 
     return (
         lines.writeStream.foreachBatch(apply)
