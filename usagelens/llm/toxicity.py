@@ -34,6 +34,8 @@ MIN_STEPS = 400
 BATCH = 32
 SEED = 5
 INIT = 0.02
+#: Share of words left out at random, anew in each step, so that no filter rests on words of a single text.
+LEFT_OUT = 0.5
 #: Every this many sampled rows one is kept out of training, to calibrate.
 CALIBRATE = 5
 #: Scores from here on count as toxic; calibration moves the scale so that this is the best single threshold.
@@ -182,7 +184,8 @@ def train(texts: list[str | None], labels: list[int], langs: list[str | None], s
     adagrad = Adagrad(0.05)
     for _ in range(max(EPOCHS, MIN_STEPS * BATCH // len(fit))):
         for batch in np.array_split(rng.permutation(fit), max(1, len(fit) // BATCH)):
-            learn_batch(model, adagrad, rows, [numbered[i] for i in batch], y[batch], weight[batch])
+            some = [np.where(rng.random(len(numbered[i])) < LEFT_OUT, 0, numbered[i]).tolist() for i in batch]
+            learn_batch(model, adagrad, rows, some, y[batch], weight[batch])
     calibrate(model, score_numbered(model, rows, numbered), y, langs, held)
     return model
 
