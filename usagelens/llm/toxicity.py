@@ -262,10 +262,12 @@ def calibrate(model: Model, logits: np.ndarray, y: np.ndarray, langs: list[str |
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Train on at most `max_rows` labelled texts of each label.
 
-    `labels` is (doc_id, toxic 0 or 1); rows with another or no label, and null ids, teach nothing. The sample
+    `labels` is (doc_id, toxic 0 or 1); rows with another or no label, and null ids, teach nothing; of
+    two labels of a document 1 counts. The sample
     are the rows with the smallest seeded hash, so it is the same in every run.
     """
-    marked = with_columns(labels, "doc_id", "toxic").filter("toxic in (0, 1)").dropDuplicates(["doc_id"])
+    marked = with_columns(labels, "doc_id", "toxic").filter("toxic in (0, 1)")
+    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     hashed = marked.withColumn("place", F.xxhash64(F.lit(SEED), "doc_id"))
     sample = [hashed.filter(F.col("toxic") == t).orderBy("place", "doc_id").limit(max_rows) for t in (0, 1)]
     chosen = sample[0].unionByName(sample[1])
