@@ -103,11 +103,42 @@ def test_mix_of_few_words_is_exact_to_a_word(spark):
         assert abs(sum(r.taken for r in taken) - target) <= 1
 
 
+def whole_copies(rows, n_buckets):
+    """Copies of each row of a mix: down the seeded order, those whose middle lies before the words still wanted."""
+    blocks = mixing.BLOCKS
+    total = sum(r["size"] for r in rows)
+    block = max(1, -(-total // blocks))
+    by, copies = collections.defaultdict(list), {}
+    for r in rows:
+        by[r.source].append(r)
+    for own in by.values():
+        line = sorted(own, key=lambda r: ((r.place >> 20) % n_buckets, r.place, r.doc_id))
+        given = sum(r.taken for r in line)
+        n_blocks = max(1, -(-line[0].source_size // block))
+        # What all give alike, and what is taken from the first ones besides.
+        times = min(r.taken // r["size"] for r in line if r["size"])
+        more = given - times * line[0].source_size
+        assert more <= n_blocks * block
+        start = 0
+        for r in line:
+            copies[r.doc_id] = times + (start + r["size"] / 2 < more) if r["size"] else 0
+            start += r["size"]
+    return copies
+
+
 def test_mixed_rows_follow_the_mix(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    found = mixing.mix(docs).collect()
     times = collections.Counter(r.doc_id for r in mixing.mixed_rows(docs).collect())
-    for r in mixing.mix(docs).collect():
-        assert times[r.doc_id] == (math.floor(r.taken / r["size"] + 0.5) if r["size"] else 0)
+    assert times == {d: n for d, n in whole_copies(found, buckets_for(len(found))).items() if n}
+    by = collections.defaultdict(list)
+    for r in found:
+        by[r.source].append(r)
+    block = -(-sum(r["size"] for r in found) // mixing.BLOCKS)
+    for rows in by.values():
+        words = sum(times[r.doc_id] * r["size"] for r in rows)
+        assert abs(words - rows[0].target) <= max(r["size"] for r in rows) / 2 + 2 * block
+        assert max(times[r.doc_id] for r in rows) <= mixing.MOST_REPEATS
 
 
 # Sharding
@@ -563,7 +594,7 @@ def test_pipeline_stages(spark):
     dirty = lambda t: any(tuple(w[i : i + 10]) in windows for w in [decontaminate.split_words(t)] for i in range(len(w)))
     assert sorted(rows["decontamination"]) == sorted(r for r in one if not dirty(r[1]))
     taken = mixing.mix(kept["decontamination"]).collect()
-    times = {r.doc_id: math.floor(r.taken / r["size"] + 0.5) for r in taken if r["size"]}
+    times = whole_copies(taken, buckets_for(len(taken)))
     assert collections.Counter(d for d, _ in rows["mixing"]) == collections.Counter({d: n for d, n in times.items() if n})
     shards = [r.shard for r in kept["sharding"].collect()]
     assert len(shards) == len(rows["mixing"])

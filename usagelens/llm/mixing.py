@@ -3,8 +3,10 @@
 Every source's documents are laid on a line of words in a seeded order, and the line is cut into blocks
 of equally many words. Blocks are handed to sources by highest quotient (Sainte-Laguë: target over odd
 numbers), and the sequence of seats is cut into shards, so each shard gets an integer quota of every
-source. A source's quota then takes its blocks: all of them as often as it goes round, and of the rest a
-seeded selection. A document gives the words of the blocks it lies in.
+source. A source's quota then takes its blocks: all of them as often as it goes round, and of what is left
+the first ones of the seeded order. A document gives the words of the blocks it lies in; where whole
+documents are wanted, it goes where its middle lies, so a source is off its target by half a document at most
+besides the block.
 
 Everything is a DataFrame function. The text is read once; all later steps work on one narrow row for
 each document, one for each source, and at most `blocks` + 2 seats a source.
@@ -26,8 +28,6 @@ MOST_REPEATS = 3
 BLOCKS = 1 << 16
 SHARDS = 64
 SEED = 7
-# A prime above any number of blocks, so multiples of it visit every block of a source once.
-STRIDE = 2_147_483_647
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -117,7 +117,9 @@ def source_sizes(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """doc_id, place, source, size, source_size, target, taken for each row of `docs`.
+    """doc_id, place, source, size, source_size, target, taken, copies for each row of `docs`.
+
+    `taken` is in words, `copies` in whole documents.
 
     A null text has no words, a null source is a source (last in order), rows may repeat and ids may be
     null or tied: each row is a document of its own. Documents without words are taken 0 times. An empty
@@ -139,21 +141,14 @@ def mix(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     )
     bucket = F.pmod(F.shiftright("place", 20), F.lit(n_buckets))
     laid = running_total(keyed, ["key"], bucket, ["place", "doc_id", "size"], F.col("size"), "start")
-    n_blocks = F.ceil(F.col("source_size") / F.col("block"))
-    times, rest = F.floor(F.col("quota") / F.col("n_blocks")), F.col("quota") % F.col("n_blocks")
-    joined = laid.join(plan, "key").withColumn("n_blocks", F.greatest(n_blocks, F.lit(1)))
-    joined = joined.withColumn("times", times).withColumn("rest", rest)
-    shift = F.pmod(F.xxhash64(F.lit(SEED), "source"), F.lit(STRIDE))
-    stride = F.lit(STRIDE) % F.col("n_blocks")
-    joined = joined.withColumn("shift", shift).withColumn("stride", stride)
-    taken = """
-        aggregate(
-            sequence(start div block, (start + size - 1) div block),
-            0L,
-            (sum, b) -> sum
-                + (least(start + size, (b + 1) * block) - greatest(start, b * block))
-                * (times + if((b * stride + shift) % n_blocks < rest, 1, 0)))
-    """
+    n_blocks = F.greatest(F.ceil(F.col("source_size") / F.col("block")), F.lit(1))
+    # The words of the blocks that are taken once more than the others.
+    joined = laid.join(plan, "key").select(
+        "*", F.floor(F.col("quota") / n_blocks).alias("times"), (F.col("quota") % n_blocks * F.col("block")).alias("more")
+    )
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("more") - F.col("start")))
+    middle_in = F.col("start") + F.col("size") / 2 < F.col("more")
+    copies = F.col("times") + middle_in.cast("int")
     return joined.select(
         "doc_id",
         "place",
@@ -161,18 +156,19 @@ def mix(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
         "size",
         F.col("source_size").cast("long").alias("source_size"),
         F.col("target").cast("double").alias("target"),
-        F.when(F.col("size") > 0, F.expr(taken)).otherwise(F.lit(0)).cast("long").alias("taken"),
+        (F.col("size") * F.col("times") + part).cast("long").alias("taken"),
+        F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("int").alias("copies"),
     )
 
 
 def mixed_rows(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """The rows of `docs`, all columns, each as often as the mix takes its words, rounded to whole documents.
+    """The rows of `docs`, all columns, each as often as the mix takes it as a whole.
 
     Documents without words are not in a mix of words. Rows that agree in id and text are one here, repeated
     as often as they are together.
     """
-    times = F.sum(F.round(F.col("taken") / F.col("size")).cast("int"))
-    taken = mix(docs, blocks).filter("size > 0").groupBy(id_text().alias("id"), "place").agg(times.alias("times"))
+    times = F.sum("copies").cast("int")
+    taken = mix(docs, blocks).groupBy(id_text().alias("id"), "place").agg(times.alias("times"))
     rows = docs.select(id_text().alias("id"), place().alias("place"), F.struct("*").alias("row"))
     once = rows.dropDuplicates(["id", "place"]).join(taken.filter("times > 0"), ["id", "place"])
-    return once.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")
+    return once.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
