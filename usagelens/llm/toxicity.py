@@ -2,8 +2,9 @@
 
 A word's embedding is the sum of hashed rows for the word and its beginnings, so words unseen in training
 are known by their stems. Filters over one, two and three adjacent words are rectified, the highest value
-of each over the whole text is kept (max pooling), and a logistic layer weighs them. Training runs on the
-driver, on a bounded sample of labelled rows; scoring runs in tasks over every text.
+of each over the whole text is kept (max pooling), and a logistic layer weighs them. Training runs in one
+task, on a bounded sample of labelled rows, and only the model reaches the driver; scoring runs in tasks over
+every text.
 
 Scores know nothing of languages, labels or sources. Where a decision is wanted, each language has a
 threshold of its own, calibrated on labelled rows that training did not see.
@@ -11,6 +12,7 @@ threshold of its own, calibrated on labelled rows that training did not see.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass, field
 
@@ -269,12 +271,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     marked = with_columns(labels, "doc_id", "toxic").filter("toxic in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     hashed = marked.withColumn("place", F.xxhash64(F.lit(SEED), "doc_id"))
-    sample = [hashed.filter(F.col("toxic") == t).orderBy("place", "doc_id").limit(max_rows) for t in (0, 1)]
-    chosen = sample[0].unionByName(sample[1])
+    by_label = [hashed.filter(F.col("toxic") == t).orderBy("place", "doc_id").limit(max_rows) for t in (0, 1)]
+    chosen = by_label[0].unionByName(by_label[1])
     texts = with_columns(docs, "doc_id", "text", "lang").filter("text is not null")
     rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("place", "doc_id", "text")
-    found = rows.limit(4 * max_rows).select("text", "toxic", "lang").collect()
-    return train([r.text for r in found], [r.toxic for r in found], [r.lang for r in found])
+    # Sorted and limited, the sample is one partition.
+    sample = rows.limit(4 * max_rows).select("text", "toxic", "lang")
+
+    def run(batches):
+        texts, marks, langs = [], [], []
+        for batch in batches:
+            for column, held in zip(batch.columns, (texts, marks, langs)):
+                held += column.to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, marks, langs))], pa.binary())], names=["model"])
+
+    trained = sample.mapInArrow(run, "model binary").first()
+    return pickle.loads(trained.model) if trained else train([], [], [])
 
 
 class Scorer:
