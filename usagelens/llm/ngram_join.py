@@ -38,6 +38,8 @@ BUCKET_TEXTS = 1024
 #: Shingles of one chunk of a component; a tile holds two chunks.
 CHUNK_SHINGLES = 1 << 19
 KNOWN_WORDS = 1 << 17
+# Ties that a task contracts at a time.
+CONTRACT_TIES = 1 << 18
 PLACES = mixed(np.arange(WORDS, dtype=np.uint64), 1) | np.uint64(1)
 FACTORS = mixed(np.arange(VALUES, dtype=np.uint64), 2) | np.uint64(1)
 OFFSETS = mixed(np.arange(VALUES, dtype=np.uint64), 3)
@@ -212,7 +214,8 @@ def candidate_edges(texts: DataFrame, least: tuple[int, ...]) -> DataFrame:
         two.unionByName(some)
         .join(texts.select("ha", "hb", "sketch"), ["ha", "hb"])
         .repartition("bucket")
-        .sortWithinPartitions("bucket")
+        # The forest of a bucket depends on its order; a task that runs again must give the same.
+        .sortWithinPartitions("bucket", "ha", "hb")
         .mapInArrow(lambda b: compare_buckets(b, least), "ha long, hb long, ga long, gb long")
     )
     tied = more.filter((F.col("n") > BUCKET_TEXTS) & (text != F.col("low"))).select(
@@ -221,19 +224,76 @@ def candidate_edges(texts: DataFrame, least: tuple[int, ...]) -> DataFrame:
     return compared.unionByName(tied)
 
 
+def least_reachable(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """For each of n numbered nodes the least one that the ties x - y connect it to."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, label[x], low)
+        np.minimum.at(new, label[y], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def node_array(columns: list[pa.Array]) -> np.ndarray:
+    """Nodes, integers or structs of integers, as an array that sorts as they do."""
+    kind = columns[0].type
+    if not pa.types.is_struct(kind):
+        return np.concatenate([c.to_numpy() for c in columns])
+    out = np.empty(sum(map(len, columns)), dtype=[(f.name, f.type.to_pandas_dtype()) for f in kind])
+    for f in kind:
+        out[f.name] = np.concatenate([c.field(f.name).to_numpy() for c in columns])
+    return out
+
+
+def node_column(nodes: np.ndarray) -> pa.Array:
+    names = nodes.dtype.names
+    return pa.StructArray.from_arrays([pa.array(nodes[x]) for x in names], names) if names else pa.array(nodes)
+
+
+def contract(batches):
+    """Ties (u, v) of one task, a block at a time, as ties to the least node of each of the block's components."""
+
+    def stars(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        u, v = (node_array([b.column(side) for b in rows]) for side in ("u", "v"))
+        # Sorted, so the least number is the least node.
+        known, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        root = least_reachable(at[: len(u)], at[len(u) :], len(known))
+        tied = np.flatnonzero(root != np.arange(len(known)))
+        return pa.RecordBatch.from_arrays([node_column(known[tied]), node_column(known[root[tied]])], names=["u", "v"])
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= CONTRACT_TIES:
+            yield stars(held)
+            held, n = [], 0
+    if n:
+        yield stars(held)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root for all nodes of `edges` (a, b), by alternating large and small stars.
 
-    Every round ties each node's larger neighbours, then its smaller ones, to the least node it sees; it ends
-    when a round changes nothing. Each round is written to the shared folder.
+    Every round ties each node's larger neighbours, then its smaller ones, to the least node it sees. Before
+    each, a task contracts the ties it reads, which needs no shuffle and shortens paths; it reads them from a
+    written table, so a task that runs again gives the same ties. It ends when each node has one tie to a
+    smaller node, or only ties to larger ones. Each round is written to the shared folder.
     """
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
-    links, before = stored(links, "links"), None
+    links = stored(links, "links")
     while True:
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        links = stored(links.mapInArrow(contract, links.schema), "links")
+        ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.filter("up > 1 or up = 1 and down = 1").isEmpty():
             break
-        before = state
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
