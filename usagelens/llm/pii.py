@@ -4,7 +4,8 @@ Emails, IP addresses, card and phone numbers are found by patterns and checks. E
 protected entity. Words near an entity are counted together with it over the whole corpus; the share of a
 word's documents in which it stands by the entity is how well the word predicts it. In terms of
 information: PMI(entity; word) / IC(entity) = 1 + log2 p(entity | word) / -log2 p(entity). A word whose
-ratio reaches `DISCLOSES` reveals the entity and is generalised, above `REMOVES` it is removed.
+ratio reaches `DISCLOSES` with any entity reveals it and is generalised, above `REMOVES` it is removed, wherever
+it stands: beside the entity, elsewhere in the document, or in documents without the entity.
 
 Everything is a DataFrame function. Matches are marked in the text with a character that no pattern knows,
 and the marked text is cut there, so positions are sums of lengths.
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.functions.joins import hint_if_small
 from usagelens.llm.common import id_text, stored, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
@@ -31,12 +33,14 @@ NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){
 MARK, INSTEAD = "\ue000", "\ue001"
 #: Words before and after an entity that count as near it.
 NEAR_WORDS = 5
-NEAR_CHARS = 120
 #: Documents in which a word and an entity must stand together.
 MIN_SUPPORT = 3
 DISCLOSES = 0.95
 REMOVES = 0.999
 WORD = r"[\p{L}][\p{L}\p{N}]{2,}+"
+#: The shortest beginning of a text that holds its first NEAR_WORDS words, and that of a reversed text.
+FIRST_WORDS = rf"^(?s:.*?{WORD}){{0,{NEAR_WORDS}}}"
+LAST_WORDS = rf"^(?s:.*?(?<![\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}]{{2,}}\p{{L}}){{0,{NEAR_WORDS}}}"
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "removed": ""}
 SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 
@@ -105,14 +109,12 @@ def entity_of(span: Column) -> Column:
 
 def near_terms(text: Column, spans: Column) -> Column:
     """(entity, term, start, end) of the words near each span, themselves in no span."""
-    n = F.length(text)
 
     def around(span: Column) -> Column:
-        low = F.greatest(F.lit(0), span["start"] - NEAR_CHARS)
-        high = F.least(n, span["end"] + NEAR_CHARS)
-        before = words_at(F.substring(text, (low + 1).cast("int"), (span["start"] - low).cast("int")), low)
-        after = words_at(F.substring(text, (span["end"] + 1).cast("int"), (high - span["end"]).cast("int")), span["end"])
-        near = F.concat(F.slice(before, F.greatest(F.lit(1), F.size(before) - NEAR_WORDS + 1), F.lit(NEAR_WORDS)), F.slice(after, 1, NEAR_WORDS))
+        back = F.regexp_extract(F.reverse(F.substring(text, F.lit(1), span["start"].cast("int"))), LAST_WORDS, 0)
+        ahead = F.regexp_extract(F.substring(text, (span["end"] + 1).cast("int"), F.length(text)), FIRST_WORDS, 0)
+        before = words_at(F.reverse(back), span["start"] - F.length(back))
+        near = F.concat(before, words_at(ahead, span["end"]))
         free = F.filter(near, lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
         entity = entity_of(span)
         return F.transform(free, lambda w: F.struct(entity.alias("entity"), F.lower(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
@@ -136,8 +138,12 @@ def found_spans(docs: DataFrame) -> DataFrame:
 
 def document_counts(docs: DataFrame) -> DataFrame:
     """term, n_docs: in how many documents each word stands, over the whole corpus."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), 0))
-    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_docs"))
+    return docs.select(F.explode(distinct_words()).alias("term")).groupBy("term").agg(F.count("*").alias("n_docs"))
+
+
+def distinct_words() -> Column:
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0)
+    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
@@ -172,25 +178,59 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_support: int = MIN_S
     )
 
 
+def occurrences(text: Column, terms: Column) -> Column:
+    """Spans of all words of a text without MARK that are keys of `terms` (term -> kind), by start."""
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def add(state: Column, part: Column) -> Column:
+        end = state["at"] + F.length(part)
+        term = F.lower(part)
+        span = F.struct(terms[term].alias("kind"), state["at"].alias("start"), end.alias("end"), term.alias("value"))
+        wanted = state["inside"] & F.map_contains_key(terms, term)
+        spans = F.when(wanted, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+        return F.struct(end.alias("at"), (~state["inside"]).alias("inside"), spans.alias("spans"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(False).alias("inside"), none.alias("spans"))
+    return F.aggregate(F.split(F.regexp_replace(text, WORD, f"{MARK}$0{MARK}"), MARK), start, add)["spans"]
+
+
+def term_spans(docs: DataFrame, found: DataFrame, revealing: DataFrame) -> DataFrame:
+    """id, text_hash, own (term -> kind), terms: where the revealing words of a document stand in it.
+
+    Documents without such words are left out; those that agree in id and text are one.
+    """
+    kind = F.when(F.max("ratio") >= REMOVES, F.lit("removed")).otherwise(F.lit("term"))
+    kinds = stored(revealing.groupBy("term").agg(kind.alias("kind")), "pii-terms")
+    rows = with_columns(docs, "doc_id", "text").select(id_text().alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    near = found.filter(F.size("near") > 0).select(id_text().alias("id"), "text_hash", F.explode("near.term").alias("term"))
+    held = rows.select("id", "text_hash", F.explode(distinct_words()).alias("term")).unionByName(near)
+    own = F.map_from_entries(F.collect_set(F.struct("term", "kind"))).alias("own")
+    owners = stored(held.join(hint_if_small(kinds), "term").groupBy("id", "text_hash").agg(own), "pii-owners")
+    clean = F.translate(F.coalesce("text", F.lit("")), MARK, INSTEAD)
+    where = rows.join(hint_if_small(owners), ["id", "text_hash"]).withColumn("text", clean)
+    return where.select("id", "text_hash", "own", occurrences(F.col("text"), F.col("own")).alias("terms")).dropDuplicates(["id", "text_hash"])
+
+
 def find(docs: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
     """doc_id, text_hash, base, spans for each row of `docs`: checked spans, and those with revealing terms.
 
-    A null text counts as empty. Rows that agree in id and text get the same spans, each as a row of its own;
-    null ids are allowed; extra columns are ignored. Spans carry kind, start, end, value.
+    A revealing term is marked wherever it stands outside of checked spans, in all documents. A null text counts as
+    empty. Rows that agree in id and text get the same spans, each as a row of its own; null ids are allowed;
+    extra columns are ignored. Spans carry kind, start, end, value.
     """
     found = stored(found_spans(docs), "pii")
-    revealing = disclosing_terms(docs, found, min_support)
-    keyed = found.withColumn("id", id_text())
-    near = keyed.filter(F.size("near") > 0).select("id", "text_hash", F.explode("near").alias("near"))
-    named = near.select("id", "text_hash", "near.*").join(revealing, ["entity", "term"])
-    kind = F.when(F.max("ratio") >= REMOVES, F.lit("removed")).otherwise(F.lit("term"))
-    each = named.groupBy("id", "text_hash", "start", "end", "term").agg(kind.alias("kind"))
-    span = F.struct("kind", "start", "end", F.col("term").alias("value"))
-    terms = each.groupBy("id", "text_hash").agg(F.collect_list(span).alias("terms"))
-    joined = keyed.join(terms, ["id", "text_hash"], "left")
+    terms = term_spans(docs, found, disclosing_terms(docs, found, min_support))
+    joined = found.withColumn("id", id_text()).join(terms, ["id", "text_hash"], "left")
     none = F.array().cast(f"array<{SPAN}>")
-    every = in_order(F.concat("base", F.coalesce("terms", none)), (*KINDS, "term", "removed"))
-    return joined.select("doc_id", "text_hash", "base", every.alias("spans"))
+    free = F.filter("terms", lambda w: ~F.exists("base", lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
+    # Of a word that runs into a checked span, the part outside stands in `near`.
+    beside = F.transform(
+        F.filter("near", lambda w: F.map_contains_key(F.col("own"), w["term"])),
+        lambda w: F.struct(F.col("own")[w["term"]].alias("kind"), w["start"].alias("start"), w["end"].alias("end"), w["term"].alias("value")),
+    )
+    every = F.array_distinct(F.concat("base", F.coalesce(free, none), F.coalesce(beside, none)))
+    spans = in_order(every, (*KINDS, "term", "removed"))
+    return joined.select("doc_id", "text_hash", "base", spans.alias("spans"))
 
 
 def sanitise(docs: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
