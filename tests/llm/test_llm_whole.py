@@ -1,6 +1,10 @@
 """Whole results where an operator used to stop at a window, a number of blocks, a sample or a table's size."""
 
-from usagelens.llm import pii
+import heapq
+
+import pytest
+
+from usagelens.llm import mixing, pii
 
 
 def spans_of(spark, docs):
@@ -34,3 +38,41 @@ def test_five_words_each_side(spark):
     docs += [(10 + i, "none") for i in range(20)]
     near = [t for _, t in spans_of(spark, docs)[0]]
     assert near == ["w22abc", "w33abc", "w44", "w55abc", "w66abc", "x@y.org", "v1a", "v2a", "v3a", "v4a", "v5a"]
+
+
+@pytest.mark.parametrize(
+    "goals",
+    [
+        [(60, 41.0), (30, 50.0), (10, 9.0)],
+        [(4, 6.875), (6, 2.75), (1, 1.375)],
+        [(1000, 1437.5), (1000, 500.5), (37, 111.0), (12, 0.0), (100, 100.0)],
+        [(100, 2.5)] + [(1, 2.5)] * 39,
+    ],
+)
+def test_word_quotas_are_seats_by_highest_quotient(spark, goals):
+    rows = [(i, size, target) for i, (size, target) in enumerate(goals)]
+    found = mixing.word_quotas(spark.createDataFrame(rows, "rank long, source_size long, target double")).collect()
+    waiting = [(-t, i, 0) for i, _, t in rows if t]
+    heapq.heapify(waiting)
+    expected = dict.fromkeys((i for i, _, t in rows if t), 0)
+    for _ in range(sum(size for size, _ in goals)):
+        while True:
+            _, i, seat = heapq.heappop(waiting)
+            if seat < 3 * goals[i][0]:
+                break
+        expected[i] += 1
+        heapq.heappush(waiting, (-goals[i][1] / (2 * seat + 3), i, seat + 1))
+    assert {r.rank: r.quota for r in found} == expected
+
+
+def test_small_sources_stay_in_a_large_mix(spark):
+    # Of 5 billion words, a block in 65,536 has some 76,000: sources below that.
+    sizes = [3_000_000_000, 2_000_000_000, 12_000, 20_000, 1]
+    rows = [(f"s{i}", x) for i, x in enumerate(sizes)]
+    goals = mixing.targets(spark.createDataFrame(rows, "source string, source_size long"))
+    found = goals.join(mixing.word_quotas(goals), "rank").collect()
+    assert len(found) == len(sizes)
+    assert all(abs(r.quota - r.target) <= 2 for r in found)
+    assert sum(r.quota for r in found) == sum(sizes)
+    quota = {r.source: r.quota for r in found}
+    assert (quota["s2"], quota["s3"], quota["s4"]) == (36_000, 60_000, 3)

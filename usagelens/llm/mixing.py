@@ -1,15 +1,14 @@
 """Mixing sources to target weights.
 
-Every source's documents are laid on a line of words in a seeded order, and the line is cut into blocks
-of equally many words. Blocks are handed to sources by highest quotient (Sainte-Laguë: target over odd
-numbers), and the sequence of seats is cut into shards, so each shard gets an integer quota of every
-source. A source's quota then takes its blocks: all of them as often as it goes round, and of what is left
-the first ones of the seeded order. A document gives the words of the blocks it lies in; where whole
-documents are wanted, it goes where its middle lies, so a source is off its target by half a document at most
-besides the block.
+Every source's documents are laid on a line of words in a seeded order. The words of the mix are handed to
+sources by highest quotient (Sainte-Laguë: target over odd numbers, a seat for each word), so a source's quota
+is its target to about a word at any size of the corpus. A source's quota then takes its words: all of them as
+often as it goes round, and of what is left the first ones of the seeded order. Where whole documents are
+wanted, one goes where its middle lies, so a source is off its target by half a document at most besides.
+`quotas` cuts the sequence of seats, in blocks of many words, into shards; the mix itself is by source only.
 
 Everything is a DataFrame function. The text is read once; all later steps work on one narrow row for
-each document, one for each source, and at most `blocks` + 2 seats a source.
+each document, one for each source, and few seats a source: most of a source's seats are counted, not listed.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: A source gives each of its words so many times at most.
 MOST_REPEATS = 3
-#: Blocks in the whole mix, which bounds the seats handed out; a source is off its target by about one block.
+#: Blocks in the whole mix where `quotas` deals them to shards, which bounds the seats listed.
 BLOCKS = 1 << 16
 SHARDS = 64
 SEED = 7
@@ -105,6 +104,32 @@ def seats(goals: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataF
     )
 
 
+def word_quotas(goals: DataFrame, most_repeats: int = MOST_REPEATS) -> DataFrame:
+    """rank, quota: how many words the mix takes of each source with a target above 0.
+
+    These are the seats by highest quotient for blocks of one word, as many as there are words. A source has
+    round(target / d) of them for a common d near 1. Bounds of d, from roundings of half a word a source, say
+    which seats are surely in and which surely out; only those between are listed and ranked. No source has
+    more than its words `most_repeats` times.
+    """
+    everything = Window.partitionBy()
+    cap = F.col("source_size") * most_repeats
+    # With these, d down to 2/3 hands out more words without reaching a cap.
+    roomy = F.sum(F.when(F.col("target") * 3 <= cap * 2, F.col("target"))).over(everything)
+    words, slack = F.sum("source_size").over(everything), F.count("*").over(everything) + 1
+    rounded = lambda x: F.floor(x + 0.5)
+    bounds = goals.withColumn("words", words).filter("target > 0").withColumns({
+        "sure": F.least(cap, rounded(F.col("target") * F.greatest(F.lit(0.0), 1 - slack / (2 * F.col("words"))))),
+        "most": F.least(cap, F.coalesce(rounded(F.col("target") * (1 + slack / roomy)), cap)),
+    })
+    left = bounds.withColumn("left", F.col("words") - F.sum("sure").over(everything))
+    seat = F.explode(F.sequence("sure", F.col("most") - 1)).alias("seat")
+    order = Window.orderBy(F.desc(F.col("target") / (2 * F.col("seat") + 1)), "rank", "seat")
+    between = left.filter("most > sure").select("rank", "target", "left", seat).withColumn("place", F.row_number().over(order))
+    more = between.filter("place <= left").groupBy("rank").agg(F.count("*").alias("more"))
+    return left.join(more, "rank", "left").select("rank", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("quota"))
+
+
 def quotas(docs: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
     """source, shard, blocks: how many blocks each shard takes of each source."""
     goals = targets(source_sizes(measured(docs)))
@@ -116,7 +141,7 @@ def source_sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source").agg(F.sum("size").alias("source_size"))
 
 
-def mix(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def mix(docs: DataFrame) -> DataFrame:
     """doc_id, place, source, size, source_size, target, taken, copies for each row of `docs`.
 
     `taken` is in words, `copies` in whole documents.
@@ -128,23 +153,21 @@ def mix(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     rows = stored(measured(docs), "mixing")
     n_buckets = buckets_for(rows.count())
     goals = targets(source_sizes(rows))
-    quota = seats(goals, blocks).groupBy("rank").agg(F.count("*").alias("quota"), F.max("block").alias("block"))
-    plan = goals.join(quota, "rank", "left").select(
+    plan = goals.join(word_quotas(goals), "rank", "left").select(
         F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")).alias("key"),
         "source_size",
         "target",
         F.coalesce("quota", F.lit(0)).alias("quota"),
-        F.coalesce("block", F.lit(1)).alias("block"),
     )
     keyed = rows.withColumn(
         "key", F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
     )
     bucket = F.pmod(F.shiftright("place", 20), F.lit(n_buckets))
     laid = running_total(keyed, ["key"], bucket, ["place", "doc_id", "size"], F.col("size"), "start")
-    n_blocks = F.greatest(F.ceil(F.col("source_size") / F.col("block")), F.lit(1))
-    # The words of the blocks that are taken once more than the others.
+    n_words = F.greatest(F.col("source_size"), F.lit(1))
+    # So many of the first words are taken once more than the others.
     joined = laid.join(plan, "key").select(
-        "*", F.floor(F.col("quota") / n_blocks).alias("times"), (F.col("quota") % n_blocks * F.col("block")).alias("more")
+        "*", F.floor(F.col("quota") / n_words).alias("times"), (F.col("quota") % n_words).alias("more")
     )
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("more") - F.col("start")))
     middle_in = F.col("start") + F.col("size") / 2 < F.col("more")
@@ -161,14 +184,14 @@ def mix(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     )
 
 
-def mixed_rows(docs: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def mixed_rows(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, each as often as the mix takes it as a whole.
 
     Documents without words are not in a mix of words. Rows that agree in id and text are one here, repeated
     as often as they are together.
     """
     times = F.sum("copies").cast("int")
-    taken = mix(docs, blocks).groupBy(id_text().alias("id"), "place").agg(times.alias("times"))
+    taken = mix(docs).groupBy(id_text().alias("id"), "place").agg(times.alias("times"))
     rows = docs.select(id_text().alias("id"), place().alias("place"), F.struct("*").alias("row"))
     once = rows.dropDuplicates(["id", "place"]).join(taken.filter("times > 0"), ["id", "place"])
     return once.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
