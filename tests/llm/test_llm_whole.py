@@ -4,7 +4,7 @@ import heapq
 
 import pytest
 
-from usagelens.llm import mixing, pii
+from usagelens.llm import decontaminate, mixing, pii
 
 
 def spans_of(spark, docs):
@@ -76,3 +76,25 @@ def test_small_sources_stay_in_a_large_mix(spark):
     assert sum(r.quota for r in found) == sum(sizes)
     quota = {r.source: r.quota for r in found}
     assert (quota["s2"], quota["s3"], quota["s4"]) == (36_000, 60_000, 3)
+
+
+def test_items_above_the_limit_are_searched_in_pieces(spark):
+    words = [f"w{i}" for i in range(500)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "w7 w8")], "item_id long, text string")
+    texts = [(i, "x " + " ".join(words[i : i + 10]) + " y") for i in range(491)]
+    texts += [(1000, " ".join(words)), (1001, " ".join(words[3:7])), (1002, " ".join(words[20:29]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.find_spans(docs, items, limit=40_000).collect()}
+    assert all(r.spans[0] == 1 and r.spans[1] == 11 and "1" in r["items"] for i, r in found.items() if i < 491)
+    assert found[1000].spans == [0, 500] and found[1000]["items"] == ["1", "2"]
+    assert found[1001].spans == found[1002].spans == []
+    kept = decontaminate.clean_only(docs, items, limit=40_000).collect()
+    assert sorted(r.doc_id for r in kept) == [1001, 1002]
+
+
+@pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 57])
+@pytest.mark.parametrize("limit", [1, 2000, 4000, 10**6])
+def test_pieces_hold_the_windows_of_the_whole(n, limit):
+    words = [b"%d" % (i % 7) for i in range(n)]
+    parts = [p for p, _ in decontaminate.parts_of(words, 10, limit)]
+    assert set().union(*map(decontaminate.windows_of, parts)) == decontaminate.windows_of(words)

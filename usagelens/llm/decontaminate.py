@@ -7,7 +7,8 @@ Where a pair ends a pattern, the patterns in its bucket are compared word by wor
 by length, so that short items do not shorten the jumps of the long ones.
 
 Patterns go to the tasks as a broadcast of at most `MAX_PATTERN_BYTES`; a larger benchmark is cut into
-chunks of that size, and the documents are passed through one after another, written in between.
+chunks of that size, and the documents are passed through one after another, written in between. An item
+too large for a chunk is cut into pieces that share `window - 1` words, so no window is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from usagelens.llm.common import LlmError, pieces, stored, with_columns
+from usagelens.llm.common import pieces, stored, with_columns
 
 WINDOW = 10
 MAX_PATTERN_BYTES = 64 << 20
@@ -113,22 +114,38 @@ def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def parts_of(words: list[bytes], window: int, limit: int) -> Iterator[tuple[list[bytes], int]]:
+    """An item's words with the bytes that their search tables need, cut where that is above `limit`.
+
+    Pieces hold the same windows together as the whole item: each starts `window - 1` words before the end of
+    the one before. A piece of a single window can be above the limit.
+    """
+    start = end = cost = 0
+    # A piece's windows hold about `window` references to each of its words.
+    cost_of = lambda w: len(w) + 100 + 8 * window
+    while end < len(words):
+        more = cost_of(words[end])
+        if cost + more > limit and end - start >= window:
+            yield words[start:end], cost
+            start = end - window + 1
+            cost = sum(map(cost_of, words[start:end]))
+        cost += more
+        end += 1
+    yield words[start:end], cost
+
+
 def searchers(benchmark: DataFrame, window: int, limit: int) -> Iterator[Searcher]:
     """The benchmark's items, read one after another, as search tables of bounded size."""
     held: list[tuple[str, list[bytes]]] = []
     size = 0
     items = with_columns(benchmark, "item_id", "text").filter("item_id is not null and text is not null")
     for row in items.toLocalIterator():
-        words = split_words(row.text)
-        # An item's windows hold about `window` references to each of its words.
-        cost = sum(map(len, words)) + 100 * len(words) + 8 * window * len(words)
-        if cost > limit:
-            raise LlmError(f"item {row.item_id} alone needs {cost} bytes of search tables")
-        if held and size + cost > limit:
-            yield Searcher(held, window)
-            held, size = [], 0
-        held.append((str(row.item_id), words))
-        size += cost
+        for words, cost in parts_of(split_words(row.text), window, limit):
+            if held and size + cost > limit:
+                yield Searcher(held, window)
+                held, size = [], 0
+            held.append((str(row.item_id), words))
+            size += cost
     yield Searcher(held, window)
 
 
