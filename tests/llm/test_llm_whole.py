@@ -2,9 +2,10 @@
 
 import heapq
 
+import numpy as np
 import pytest
 
-from usagelens.llm import decontaminate, mixing, pii
+from usagelens.llm import decontaminate, mixing, pii, toxicity
 
 
 def spans_of(spark, docs):
@@ -98,3 +99,41 @@ def test_pieces_hold_the_windows_of_the_whole(n, limit):
     words = [b"%d" % (i % 7) for i in range(n)]
     parts = [p for p, _ in decontaminate.parts_of(words, 10, limit)]
     assert set().union(*map(decontaminate.windows_of, parts)) == decontaminate.windows_of(words)
+
+
+def test_thresholds_come_from_all_rows_left_out_of_training(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "cuts_from", lambda model, counts: seen.extend(counts))
+    words = ["good day", "bad fool"]
+    rows = [(i, f"{words[i % 10 == 0]} {i} plain text", "en" if i % 3 else "xx", int(i % 10 == 0)) for i in range(400)]
+    rows += [(1, "a second text", "en", 0)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"), max_rows=20)
+    # 40 of 400 are sampled, of which 32 train.
+    assert sum(r[3] for r in seen) == 368
+    assert sum(r[3] for r in seen if r[1]) in range(20, 29)
+    assert {r[0] for r in seen} == {"en", "xx"}
+
+
+def test_counted_cuts_are_those_of_single_rows():
+    rng = np.random.default_rng(3)
+    steps = np.concatenate([rng.integers(-300, 20, 900), rng.integers(-60, 300, 30)])
+    y = np.array([0] * 900 + [1] * 30)
+    values, at = np.unique(steps, return_inverse=True)
+    counted = np.zeros((2, len(values)))
+    np.add.at(counted, (y, at), 1)
+    cut = toxicity.best_step(values, *counted)
+
+    def f1(c):
+        p = steps * toxicity.STEP >= c
+        return 2 * (p & (y == 1)).sum() / (p.sum() + y.sum())
+
+    assert f1(cut) == pytest.approx(max(f1((v - 0.5) * toxicity.STEP) for v in values))
+
+
+def test_languages_get_cuts_of_their_own():
+    model = toxicity.Model(None, {}, {}, None, 0.0)
+    counts = [("a", 0, -400, 5000), ("a", 1, 100, 50), ("b", 0, -700, 900), ("b", 1, -500, 9), ("c", 1, 5, 3), (None, 0, -300, 1)]
+    toxicity.cuts_from(model, counts)
+    assert set(model.thresholds) == {"a", "b"}
+    assert toxicity.sigmoid(np.array(-700 / 64 + model.bias)) < model.thresholds["b"] <= toxicity.sigmoid(np.array(-500 / 64 + model.bias))

@@ -19,10 +19,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import pieces, with_columns
+from usagelens.functions.joins import hint_if_small
+from usagelens.llm.common import pieces, stored, with_columns
 
 #: Labelled rows that training uses at most, of each label: those with the smallest seeded hash.
 MAX_ROWS = 4000
@@ -40,6 +41,8 @@ INIT = 0.02
 LEFT_OUT = 0.5
 #: Every this many sampled rows one is kept out of training, to calibrate.
 CALIBRATE = 5
+#: Logits are counted in steps of this size to choose thresholds.
+STEP = 1 / 64
 #: Scores from here on count as toxic; calibration moves the scale so that this is the best single threshold.
 THRESHOLD = 0.3
 #: A language with fewer calibration rows of a label than this uses the common threshold.
@@ -261,8 +264,61 @@ def calibrate(model: Model, logits: np.ndarray, y: np.ndarray, langs: list[str |
             model.thresholds[lang] = float(sigmoid(np.array(best_cut(logits[own] + shift, y[own]))))
 
 
+def best_step(steps: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """`best_cut` over counted logits: steps in ascending order, and how many rows of each label lie in each."""
+    steps, clean, toxic = steps[::-1], clean[::-1], toxic[::-1]
+    f1 = 2 * np.cumsum(toxic) / (np.cumsum(clean + toxic) + toxic.sum())
+    best = np.flatnonzero(f1 >= f1.max() - 1e-9)
+    at = int(best[len(best) // 2])
+    low = steps[at + 1] if at + 1 < len(steps) else steps[at] - 1 / STEP
+    return float((steps[at] + low) / 2 * STEP)
+
+
+def cuts_from(model: Model, counts: list[tuple[str | None, int, int, int]]) -> None:
+    """As `calibrate`, from (lang, toxic, step, rows) over rows that training left out.
+
+    Without both labels among them, the model stays as it is.
+    """
+    def cut(rows: list[tuple[str | None, int, int, int]], least: int) -> float | None:
+        steps, at = np.unique([r[2] for r in rows], return_inverse=True)
+        of = np.zeros((2, len(steps)))
+        np.add.at(of, ([r[1] for r in rows], at), [r[3] for r in rows])
+        return best_step(steps, *of) if min(of.sum(axis=1)) >= least else None
+
+    if not counts or (common := cut(counts, 1)) is None:
+        return
+    shift = float(np.log(THRESHOLD / (1 - THRESHOLD))) - common
+    model.bias += shift
+    model.thresholds.clear()
+    by_lang: dict[str, list[tuple[str | None, int, int, int]]] = {}
+    for row in counts:
+        if row[0]:
+            by_lang.setdefault(row[0], []).append(row)
+    for lang, rows in by_lang.items():
+        if (own := cut(rows, MIN_CALIBRATION)) is not None:
+            model.thresholds[lang] = float(sigmoid(np.array(own + shift)))
+
+
+def logit_counts(rows: DataFrame, model: Model) -> list[tuple[str | None, int, int, int]]:
+    """(lang, toxic, step, rows) for `rows` (text, toxic, lang): one for each step of logits that occurs."""
+    tables = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = Scorer(tables.value)
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                steps = np.rint(scorer.logits(part.column("text").to_pylist()) / STEP).astype(np.int64)
+                marks = part.column("toxic").cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("lang"), marks, pa.array(steps)], names=["lang", "toxic", "step"])
+
+    found = rows.select("text", "toxic", "lang").mapInArrow(run, "lang string, toxic long, step long")
+    return [tuple(r) for r in found.groupBy("lang", "toxic", "step").count().collect()]
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Train on at most `max_rows` labelled texts of each label.
+    """Train on at most `max_rows` labelled texts of each label; set thresholds by all those left out of training.
+
+    A document counts once; of several texts under an id the least one is used.
 
     `labels` is (doc_id, toxic 0 or 1); rows with another or no label, and null ids, teach nothing; of
     two labels of a document 1 counts. The sample
@@ -271,12 +327,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     marked = with_columns(labels, "doc_id", "toxic").filter("toxic in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     hashed = marked.withColumn("place", F.xxhash64(F.lit(SEED), "doc_id"))
-    by_label = [hashed.filter(F.col("toxic") == t).orderBy("place", "doc_id").limit(max_rows) for t in (0, 1)]
-    chosen = by_label[0].unionByName(by_label[1])
     texts = with_columns(docs, "doc_id", "text", "lang").filter("text is not null")
-    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("place", "doc_id", "text")
-    # Sorted and limited, the sample is one partition.
-    sample = rows.limit(4 * max_rows).select("text", "toxic", "lang")
+    least = F.min(F.struct("text", "lang", "toxic")).alias("row")
+    known = texts.join(hint_if_small(stored(hashed, "toxicity-labels")), "doc_id").groupBy("doc_id", "place").agg(least).select("doc_id", "place", "row.*")
+    known = stored(known, "toxicity")
+    by_label = [known.filter(F.col("toxic") == t).orderBy("place", "doc_id").limit(max_rows) for t in (0, 1)]
+    # The sample is one partition; its rows that `train` holds out are numbered by multiples of CALIBRATE.
+    numbered = by_label[0].unionByName(by_label[1]).withColumn("n", F.row_number().over(Window.orderBy("place", "doc_id")))
+    sample = numbered.select("text", "toxic", "lang")
+    used = numbered.filter(F.col("n") % CALIBRATE != 0).select("doc_id")
 
     def run(batches):
         texts, marks, langs = [], [], []
@@ -286,7 +345,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, marks, langs))], pa.binary())], names=["model"])
 
     trained = sample.mapInArrow(run, "model binary").first()
-    return pickle.loads(trained.model) if trained else train([], [], [])
+    if not trained:
+        return train([], [], [])
+    model = pickle.loads(trained.model)
+    if model.weights.any():
+        cuts_from(model, logit_counts(known.join(F.broadcast(used), "doc_id", "left_anti"), model))
+    return model
 
 
 class Scorer:
@@ -302,6 +366,9 @@ class Scorer:
         self.values = self.model.values(np.zeros((1, N_ROWS), dtype=np.int32))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
+        return sigmoid(self.logits(texts))
+
+    def logits(self, texts: list[str | None]) -> np.ndarray:
         out, waiting, size = [], [], 0
         for text in texts:
             words = words_of(text)
@@ -327,7 +394,7 @@ class Scorer:
                 self.values = np.concatenate([self.values, more])
             self.values[len(known) - len(new) + 1 : len(known) + 1] = self.model.values(rows_of(new, self.beginnings))
         text = packed([[known[w] for w in t] for t in texts])
-        return sigmoid(self.model.logits(self.values, text))
+        return self.model.logits(self.values, text)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
