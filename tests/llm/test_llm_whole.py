@@ -137,3 +137,9 @@ def test_languages_get_cuts_of_their_own():
     toxicity.cuts_from(model, counts)
     assert set(model.thresholds) == {"a", "b"}
     assert toxicity.sigmoid(np.array(-700 / 64 + model.bias)) < model.thresholds["b"] <= toxicity.sigmoid(np.array(-500 / 64 + model.bias))
+
+
+def test_items_without_id_count_where_no_names_are_wanted(spark):
+    items = spark.createDataFrame([(None, "secret passage"), (1, "other words")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a secret passage here"), (2, "other words"), (3, "clean")], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.clean_only(docs, items).collect()] == [3]

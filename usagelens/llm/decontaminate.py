@@ -134,11 +134,13 @@ def parts_of(words: list[bytes], window: int, limit: int) -> Iterator[tuple[list
     yield words[start:end], cost
 
 
-def searchers(benchmark: DataFrame, window: int, limit: int) -> Iterator[Searcher]:
-    """The benchmark's items, read one after another, as search tables of bounded size."""
+def searchers(benchmark: DataFrame, window: int, limit: int, unnamed: bool = False) -> Iterator[Searcher]:
+    """The benchmark's items, read one after another, as search tables of bounded size; those without id if `unnamed`."""
     held: list[tuple[str, list[bytes]]] = []
     size = 0
-    items = with_columns(benchmark, "item_id", "text").filter("item_id is not null and text is not null")
+    items = with_columns(benchmark, "item_id", "text").filter("text is not null")
+    if not unnamed:
+        items = items.filter("item_id is not null")
     for row in items.toLocalIterator():
         for words, cost in parts_of(split_words(row.text), window, limit):
             if held and size + cost > limit:
@@ -220,8 +222,8 @@ def hits(found: DataFrame) -> DataFrame:
 
 
 def clean_only(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = MAX_PATTERN_BYTES) -> DataFrame:
-    """The rows of `docs`, all columns, whose text holds no window of the benchmark."""
-    for searcher in searchers(benchmark, window, limit):
+    """The rows of `docs`, all columns, whose text holds no window of the benchmark, items without id included."""
+    for searcher in searchers(benchmark, window, limit, unnamed=True):
         tables = docs.sparkSession.sparkContext.broadcast(searcher)
 
         def keep(batches, tables=tables):
