@@ -15,6 +15,7 @@ from __future__ import annotations
 import codecs
 import json
 import re
+import struct
 from array import array
 from collections.abc import Iterator
 from functools import cached_property
@@ -30,7 +31,7 @@ from usagelens.llm.common import LlmError, pieces, with_columns
 
 MAX_FILE_BYTES = 64 << 20
 #: Words whose ids a task keeps, in two generations; longer words are not kept.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 REMEMBERED_CHARS = 64
 # Words, or ids, that are handled as Python objects at a time.
 HELD = 1 << 17
@@ -73,9 +74,10 @@ class Vocabulary:
         ids = model["vocab"]
         letters = byte_letters()
         self.of_byte = [ids[letter] for letter in letters]
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        #: (left << 32 | right) to (rank, id of both together)
-        self.merges = {ids[a] << 32 | ids[b]: (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        #: (left << 32 | right) to the rank of their merge, and the id that a merge makes
+        self.ranks = {ids[a] << 32 | ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [ids[a + b] for a, b in pairs]
         self.special: dict[str, int] = {}
         for token in spec.get("added_tokens") or []:
             if token.get("lstrip") or token.get("rstrip") or token.get("single_word"):
@@ -90,33 +92,34 @@ class Vocabulary:
     def merged(self, word: bytes) -> list[int]:
         """The ids of one word."""
         ids = [self.of_byte[b] for b in word]
-        n, merges = len(ids), self.merges
+        n, rank_of, made = len(ids), self.ranks.get, self.made
         if n < 2:
             return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = []
-        for i in range(n - 1):
-            if found := merges.get(ids[i] << 32 | ids[i + 1]):
-                queue.append(found[0] << 32 | i)
+        # The rank at which each symbol merges with the next one now; an entry of another rank is stale.
+        ranks = [rank_of(a << 32 | b) for a, b in zip(ids, ids[1:])]
+        ranks.append(None)
+        queue = [rank << 32 | i for i, rank in enumerate(ranks) if rank is not None]
         heapify(queue)
         while queue:
             entry = heappop(queue)
-            i = entry & 0xFFFFFFFF
-            j = after[i]
-            if ids[i] < 0 or j >= n:
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            if ranks[i] != rank:
                 continue
-            found = merges.get(ids[i] << 32 | ids[j])
-            if found is None or found[0] != entry >> 32:
-                continue  # stale: one of the two was merged into something else
-            ids[i], ids[j] = found[1], -1
-            after[i] = k = after[j]
+            j = after[i]
+            k = after[i] = after[j]
+            ids[i] = symbol = made[rank]
+            ids[j], ranks[i], ranks[j] = -1, None, None
             if k < n:
                 before[k] = i
-                if found := merges.get(ids[i] << 32 | ids[k]):
-                    heappush(queue, found[0] << 32 | i)
+                ranks[i] = rank = rank_of(symbol << 32 | ids[k])
+                if rank is not None:
+                    heappush(queue, rank << 32 | i)
             h = before[i]
-            if h >= 0 and (found := merges.get(ids[h] << 32 | ids[i])):
-                heappush(queue, found[0] << 32 | h)
+            if h >= 0:
+                ranks[h] = rank = rank_of(ids[h] << 32 | symbol)
+                if rank is not None:
+                    heappush(queue, rank << 32 | h)
         return [x for x in ids if x >= 0]
 
 
@@ -140,7 +143,7 @@ class _Words(dict):
 
 def pack(ids) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Coder:

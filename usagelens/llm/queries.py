@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm import (
+    bpe,
     decontaminate,
     fingerprints,
     langid,
@@ -15,6 +17,8 @@ from usagelens.llm import (
     mixing,
     ngram_join,
     pii,
+    prefixes,
+    repair,
     sharding,
     toxicity,
     url_filter,
@@ -101,6 +105,29 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(turns), turns.select("conv_id").distinct())
+
+
+@query
+def op12_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefixes.nodes(*prefixes.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES["op6_decontaminate"] = rf"""
