@@ -194,3 +194,132 @@ SELECT page_id, host, path, rule,
         THEN 'block' ELSE 'allow' END) AS verdict
 FROM best
 """
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    shifted = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))"
+    each = f"lambda a, b: xor(a // 256, list_reduce(range(8), lambda c, i: {shifted}, xor(a, b) % 256))"
+    return f"xor(list_reduce({codes}, {each}, 4294967295), 4294967295)"
+
+
+SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def edit_sql(state: str, cost: str | int, letter: str, line: str) -> str:
+    """A state {k: cost and audit, t: repaired lines} after one more edit; NULL stays NULL."""
+    price = f"lpad(CAST(CAST(left({state}.k, 8) AS INT) + {cost} AS VARCHAR), 8, '0')"
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN {{'k': {price} || substr({state}.k, 9) || '{letter}', 't': {state}.t || {line}}} END"
+    )
+
+
+def row_sql(to: int, come_from: list[int], symbol: str) -> str:
+    """The best way to stand in state `to` after a row: delete it there, or keep or rerole it from another state."""
+    options = [edit_sql(f"c{to}", 2, "D", "''")]
+    role = {"u": "user", "a": "assistant"}.get(symbol)
+    for p in come_from:
+        kept = edit_sql(f"c{p}", "more", "K", "role || ':' || text || chr(10)")
+        options.append(f"CASE WHEN stays AND initial = '{symbol}' THEN {kept} END")
+        if role:
+            moved = edit_sql(f"c{p}", "1 + more", "R", f"'{role}:' || text || chr(10)")
+            options.append(f"CASE WHEN stays THEN {moved} END")
+    return f"least({', '.join(options)})" if len(options) > 1 else options[0]
+
+
+USER_LINE, ASSISTANT_LINE = "'user:' || chr(10)", "'assistant:' || chr(10)"
+NO_STATE = "CAST(NULL AS STRUCT(k VARCHAR, t VARCHAR))"
+
+ORACLES["op11_repair"] = f"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations),
+coded AS (SELECT *, {crc32_sql("k")} % 20 AS code FROM keyed),
+damaged AS (
+    SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth,
+        left(role, 1) AS initial, right(rtrim(text, {SPACES}), 1) AS last
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged)),
+faulty AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+        WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+    FROM placed),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal, max(i) AS n
+    FROM faulty GROUP BY conv_id),
+walk AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'k': '00000000', 't': ''}} AS c0, {NO_STATE} AS c1,
+        {{'k': '00000005I', 't': {USER_LINE}}} AS c2, {{'k': '00000010II', 't': {USER_LINE} || {ASSISTANT_LINE}}} AS c3
+    FROM counts
+    UNION ALL
+    SELECT conv_id, i, d0, d1, e2, least(d3, {edit_sql("e2", 5, "I", ASSISTANT_LINE)})
+    FROM (
+        SELECT *, least(d2, {", ".join(edit_sql(f"d{p}", 5, "I", USER_LINE) for p in (0, 1, 3))}) AS e2
+        FROM (
+            SELECT conv_id, i, {row_sql(0, [], "")} AS d0, {row_sql(1, [0], "s")} AS d1,
+                {row_sql(2, [0, 1, 3], "u")} AS d2, {row_sql(3, [2], "a")} AS d3
+            FROM (
+                SELECT walk.conv_id, walk.i + 1 AS i, c0, c1, c2, c3, role, text, initial,
+                    fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more
+                FROM walk JOIN faulty ON walk.conv_id IS NOT DISTINCT FROM faulty.conv_id AND faulty.i = walk.i + 1)))),
+best AS (
+    SELECT counts.conv_id AS conv_id, least(c0, c3) AS x
+    FROM walk JOIN counts ON walk.conv_id IS NOT DISTINCT FROM counts.conv_id AND walk.i = counts.n)
+SELECT ids.conv_id AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    coalesce(CAST(left(x.k, 8) AS BIGINT), 0) AS cost, coalesce(substr(x.k, 9), '') AS audit,
+    sha256(coalesce(left(x.t, greatest(length(x.t) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS ids
+LEFT JOIN counts ON ids.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN best ON ids.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, turn, text, sha256(length(role) || ':' || role || text) AS key
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS place FROM turns),
+convs AS (
+    SELECT conv_id, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h, conv_id - conv_id % 100 AS base
+    FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+    SELECT convs.conv_id, place, key, text FROM convs JOIN placed ON placed.conv_id = base WHERE place <= h
+    UNION ALL
+    SELECT convs.conv_id, place + 5, key, text FROM convs JOIN placed ON placed.conv_id = convs.conv_id WHERE place > h),
+deep AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth,
+        string_agg(key, '') OVER (PARTITION BY conv_id ORDER BY place) AS prefix
+    FROM rebuilt),
+members AS (
+    SELECT conv_id, 0 AS depth, '' AS prefix, NULL AS parent, 0 AS n_chars FROM convs
+    UNION ALL
+    SELECT conv_id, depth, prefix, left(prefix, 64 * (depth - 1)), length(text) FROM deep),
+nodes AS (
+    SELECT prefix, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+        (count(*) - 1) * any_value(n_chars) AS saved
+    FROM members GROUP BY prefix),
+children AS (SELECT parent AS prefix, count(*) AS n_children FROM nodes GROUP BY parent),
+below AS (
+    SELECT members.prefix AS prefix, sum(saved) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+    FROM nodes LEFT JOIN children USING (prefix)
+    JOIN members ON members.conv_id = nodes.conv_id AND members.depth <= nodes.depth
+    GROUP BY members.prefix),
+ends AS (
+    SELECT prefix, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, max_by(prefix, depth) AS prefix FROM members GROUP BY conv_id) GROUP BY prefix)
+SELECT nodes.conv_id AS conv_id, CAST(nodes.depth AS BIGINT) AS depth, parents.conv_id AS parent_conv_id, nodes.n_convs AS n_convs,
+    coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+    sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN below USING (prefix) LEFT JOIN children USING (prefix) LEFT JOIN ends USING (prefix)
+LEFT JOIN nodes AS parents ON parents.prefix = nodes.parent
+"""
