@@ -71,17 +71,6 @@ def test_upsert_adds_only_unseen_events(spark, tmp_path):
     assert sorted(ids, key=str) == [None, None, "n", "r1", "r2", "r3"]
 
 
-def test_upsert_reads_only_the_days_it_needs(spark, tmp_path):
-    path = str(tmp_path / "events")
-    days = [request(i, T0 + 24 * i * HOUR) for i in range(20)]
-    upsert.incremental_upsert(typed(spark, *days), path)
-    delta = typed(spark, request(0), request(19, T0 + 19 * 24 * HOUR))
-    touched = upsert._touched_days(star.read_events(spark, path), delta)
-    assert sorted(r["event_id"] for r in touched.collect()) == ["r0", "r19"]
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    assert "event_date" in plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
-
-
 def broken(i):
     return {**request(i), "message": "{"}
 
@@ -191,3 +180,39 @@ def test_windows(spark, folder, tmp_path):
     run.awaitTermination()
     closed = sorted(str(r["window_start"]) for r in spark.table("kpis").collect())
     assert closed == ["2023-11-14 23:00:00", "2023-11-15 00:00:00"]
+
+
+def test_open_windows_are_delivered_and_emitted_once(spark, tmp_path):
+    logs, out, checkpoint = tmp_path / "logs", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    logs.mkdir()
+    batches = [[request(1), request(2), error(1)], [request(3, T0 + HOUR)], [request(4, T0 + 5 * HOUR), error(2, T0 + 5 * HOUR)]]
+    for i in range(len(batches)):
+        (logs / f"{i}.jsonl").write_text(line(*batches[i]) + "\n")
+        windows.stream_windowed_kpis(ingest.stream_lines(spark, str(logs)), out, checkpoint).awaitTermination()
+        found = windows.read_windows(spark, out, checkpoint)
+        batch = windows.windowed_kpis(facts.typed_events(parse.parse_lines(spark.read.text(str(logs)))))
+        assert same(found.drop("is_final"), batch)
+    final = {str(r.window_start)[11:16] for r in found.filter("is_final").collect()}
+    assert final == {"23:00", "00:00"}
+    # nothing open is lost by reading it: the next event closes it
+    (logs / "end.jsonl").write_text(line(request(6, T0 + 9 * HOUR)) + "\n")
+    windows.stream_windowed_kpis(ingest.stream_lines(spark, str(logs)), out, checkpoint).awaitTermination()
+    assert windows.read_windows(spark, out, checkpoint).filter("is_final").count() == 3
+
+
+def test_a_stream_without_repeats_fills_the_star_like_one_load(spark, tmp_path):
+    logs, root, checkpoint = tmp_path / "logs", str(tmp_path / "star"), str(tmp_path / "ckpt")
+    logs.mkdir()
+    states = []
+    for day in range(4):
+        events = [request(10 * day + i, T0 + day * 24 * HOUR + i) for i in range(5)]
+        (logs / f"{day}.jsonl").write_text(line(*events) + "\n")
+        (logs / f"{day}-again.jsonl").write_text(line(*events[:3]) + "\n" + line(*events) + "\n")
+        lines = ingest.stream_lines(spark, str(logs))
+        run = ingest.stream_ingest(lines, root, checkpoint, lateness="1 hour")
+        run.awaitTermination()
+        states.append(run.lastProgress["stateOperators"][0]["numRowsTotal"])
+    once = typed(spark, *[request(10 * day + i, T0 + day * 24 * HOUR + i) for day in range(4) for i in range(5)])
+    assert same(star.read_events(spark, root), once)
+    # ids of days that have passed are forgotten
+    assert max(states) <= 10

@@ -94,7 +94,8 @@ def _decimal_parts(value: Column) -> tuple[Column, Column]:
     return dec, F.when(dec.isNull(), value)
 
 
-def _join_parts(dec: Column, big: Column) -> Column:
+def join_parts(dec: Column, big: Column) -> Column:
+    """The total of what was summed as decimals and what was too large for that."""
     return F.coalesce(dec.cast("double") + big, dec.cast("double"), big)
 
 
@@ -105,7 +106,7 @@ def exact_total(value: Column) -> Column:
     none is lost.
     """
     dec, big = _decimal_parts(value)
-    return _join_parts(F.sum(dec), F.sum(big))
+    return join_parts(F.sum(dec), F.sum(big))
 
 
 class TwoLevelTotal:
@@ -115,9 +116,13 @@ class TwoLevelTotal:
         self.column = column
         self._dec, self._big = f"__{column}_dec", f"__{column}_big"
 
+    def names(self) -> list[str]:
+        """The columns that `parts` makes."""
+        return [self._dec, self._big]
+
     def parts(self) -> list[Column]:
         dec, big = _decimal_parts(F.col(self.column))
         return [F.sum(dec).alias(self._dec), F.sum(big).alias(self._big)]
 
     def total(self) -> Column:
-        return _join_parts(F.sum(self._dec), F.sum(self._big))
+        return join_parts(F.sum(self._dec), F.sum(self._big))

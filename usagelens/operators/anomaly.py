@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.casts import exact_total, round_to, utc_text
 from usagelens.functions.joins import hint_if_small, settle
+from usagelens.functions.moments import moments, statistics
 from usagelens.functions.quantiles import quantiles, value_counts
 from usagelens.operators import metrics
 from usagelens.schemas import Star
@@ -16,53 +17,50 @@ def _seconds(ms):
     return round_to(ms / F.lit(1000.0), 2)
 
 
-def _flagged_costs(star: Star, z_threshold: float) -> DataFrame:
-    requests = star.fact_api_requests.filter(F.col("cost_usd") > 0)
-    mean = requests.agg(
-        (exact_total(F.col("cost_usd")) / F.count("cost_usd")).alias("__mean"),
-        F.count("cost_usd").alias("__n"),
-    )
-    # Squares are taken relative to the mean, so that their decimals hold them whatever the scale.
-    relative = F.col("cost_usd") / F.col("__mean") - 1
-    spread = requests.crossJoin(F.broadcast(mean)).agg(  # one row
-        F.max("__mean").alias("__mean"),
-        F.max("__n").alias("__n"),
-        exact_total(relative * relative).alias("__squares"),
-    )
-    stats = spread.select(
-        "__mean",
-        F.when(
-            F.col("__n") > 1, F.col("__mean") * F.sqrt(F.col("__squares") / (F.col("__n") - 1))
-        ).alias("__std"),
-    )
+def cost_moments(star: Star) -> DataFrame:
+    """Count, exact sum and exact squares of the positive request costs, in one scan."""
+    return moments(star.fact_api_requests, F.col("cost_usd"))
+
+
+def flagged_costs(requests: DataFrame, known: DataFrame, z_threshold: float) -> DataFrame:
+    """The requests whose cost is `z_threshold` deviations above the mean of the moments `known`, with `__z`."""
+    stats = statistics(known).select(F.col("mean").alias("__mean"), F.col("std").alias("__std"))
     z = (F.col("cost_usd") - F.col("__mean")) / F.nullif(F.col("__std"), F.lit(0.0))
-    scored = requests.crossJoin(F.broadcast(stats)).withColumn("__z", z)  # one row
+    positive = requests.filter(F.col("cost_usd") > 0)
+    scored = positive.crossJoin(F.broadcast(stats)).withColumn("__z", z)  # one row
     return scored.filter(F.col("__z") >= z_threshold)
 
 
-def cost_anomalies(star: Star, z_threshold: float = 3.0) -> DataFrame:
+def _flagged_costs(star: Star, z_threshold: float, known: DataFrame | None = None) -> DataFrame:
+    return flagged_costs(star.fact_api_requests, known or cost_moments(star), z_threshold)
+
+
+def described_costs(flagged: DataFrame) -> DataFrame:
+    """The public columns of flagged requests."""
+    return flagged.select(
+        "epoch_ms",
+        utc_text(F.col("epoch_ms")).alias("timestamp"),
+        "user_email",
+        "model",
+        round_to(F.col("cost_usd"), 4).alias("cost_usd"),
+        "duration_ms",
+        _seconds(F.col("duration_ms")).alias("duration_sec"),
+        round_to(F.col("__z"), 2).alias("z_score"),
+        "session_id",
+    )
+
+
+def cost_anomalies(
+    star: Star, z_threshold: float = 3.0, known: DataFrame | None = None
+) -> DataFrame:
     """Requests at least `z_threshold` sample standard deviations above the mean positive cost.
 
-    Mean and deviation come from exact totals, so row order and partitioning do not change who is in.
+    Mean and deviation come from moments that do not depend on row order or partitioning: those of the star's
+    requests, or `known` ones, such as the stored ones of `sources.sidetables.COST_MOMENTS`, which save the scan.
     """
-    return (
-        _flagged_costs(star, z_threshold)
-        .orderBy(
-            F.desc("cost_usd"),
-            *map(F.asc_nulls_last, ["epoch_ms", "user_email", "session_id", "model"]),
-        )
-        .select(
-            "epoch_ms",
-            utc_text(F.col("epoch_ms")).alias("timestamp"),
-            "user_email",
-            "model",
-            round_to(F.col("cost_usd"), 4).alias("cost_usd"),
-            "duration_ms",
-            _seconds(F.col("duration_ms")).alias("duration_sec"),
-            round_to(F.col("__z"), 2).alias("z_score"),
-            "session_id",
-        )
-    )
+    flagged = _flagged_costs(star, z_threshold, known)
+    order = [F.desc("cost_usd"), *map(F.asc_nulls_last, ["epoch_ms", "user_email", "session_id", "model"])]
+    return described_costs(flagged.orderBy(*order))
 
 
 def latency_bounds(star: Star, iqr_multiplier: float = 1.5) -> DataFrame:
@@ -106,9 +104,12 @@ def latency_anomalies(
     )
 
 
-def anomaly_summary(star: Star) -> DataFrame:
-    """Counts and extremes of both detectors, over all they find, aggregated where the data is."""
-    costs = _flagged_costs(star, 3.0).agg(
+def anomaly_summary(star: Star, known: DataFrame | None = None) -> DataFrame:
+    """Counts and extremes of both detectors, over all they find, aggregated where the data is.
+
+    With stored moments as `known` the requests are scanned once.
+    """
+    costs = _flagged_costs(star, 3.0, known).agg(
         F.count(F.lit(1)).alias("cost_anomaly_count"),
         round_to(
             F.coalesce(exact_total(round_to(F.col("cost_usd"), 4)), F.lit(0.0)), 2
@@ -121,8 +122,10 @@ def anomaly_summary(star: Star) -> DataFrame:
     return costs.crossJoin(F.broadcast(latencies))  # one row each
 
 
-def top_cost_anomalies(star: Star, n: int = 50, z_threshold: float = 3.0) -> DataFrame:
-    return cost_anomalies(star, z_threshold).limit(n)
+def top_cost_anomalies(
+    star: Star, n: int = 50, z_threshold: float = 3.0, known: DataFrame | None = None
+) -> DataFrame:
+    return cost_anomalies(star, z_threshold, known).limit(n)
 
 
 def top_latency_anomalies(star: Star, n: int = 15, iqr_multiplier: float = 1.5) -> DataFrame:

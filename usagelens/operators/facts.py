@@ -135,3 +135,11 @@ def typed_events(parsed: DataFrame) -> DataFrame:
         f"ELSE coalesce({_by_body(TABLE_OF_KIND)}, '{UNKNOWN_TABLE}') END AS table",
     ).withColumn("event_date", to_date(F.col("epoch_ms")))
     return labelled.selectExpr(*[_typed_column(name) for name in TYPED_EVENT.fieldNames()])
+
+
+def quarantined(rejected: DataFrame) -> DataFrame:
+    """Rejected rows (stage, reason, raw) that are no events, in the columns of typed events."""
+    given = {"stage": F.col("stage"), "reason": F.col("reason"), "raw": F.col("raw"), "table": F.lit(QUARANTINE_TABLE)}
+    return rejected.select(
+        *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED_EVENT.fields]
+    )

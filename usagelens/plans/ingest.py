@@ -18,11 +18,15 @@ def load_star(
     root: str,
     partition_by: tuple[str, ...] = star.DAILY,
 ) -> str:
-    """Full, repeatable rebuild; returns the version written. The log text is read once."""
+    """Full, repeatable rebuild; returns the version written. The log text is read once.
+
+    Malformed log rows and malformed employee records go to the same quarantine, with stage and reason.
+    """
     configure(spark)
     dim = quality.require_unique_dim(employees.read_employees(spark, employees_path))
     parsed = parse.parse_lines(logs.read_log_batches(spark, logs_path))
-    return star.write_star(dim, facts.typed_events(parsed), root, partition_by)
+    rejected = facts.quarantined(employees.rejected_employees(spark, employees_path))
+    return star.write_star(dim, facts.typed_events(parsed).unionByName(rejected), root, partition_by)
 
 
 def load_report(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:

@@ -71,3 +71,8 @@ def over(select: str, where: str = "true") -> str:
     tables = _TABLES.format(bodies=_BODY_CASES, status=_STATUS, where=where)
     return f"WITH {tables} {select}"
 
+
+
+def without_broken(sql: str) -> str:
+    """The same question, asked `over` the events whose message is whole."""
+    return sql.replace("FROM all_stg WHERE true", f"FROM all_stg WHERE NOT {BROKEN}")

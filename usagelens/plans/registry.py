@@ -11,14 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.operators import adhoc, anomaly, charts, facts, findings, metrics, parse, quality
+from usagelens.operators import adhoc, anomaly, charts, facts, findings, metrics, parse, quality, rolled
 from usagelens.plans import ingest, sample_data
-from usagelens.plans.oracle import BROKEN, JUNK, over
+from usagelens.plans.oracle import BROKEN, JUNK, over, without_broken
 from usagelens.schemas import CONTRACT, STAGING_COLUMNS, Star
 from usagelens.session import scratch_path
-from usagelens.sources import employees, logs, star
+from usagelens.sources import employees, logs, sidetables, star
 from usagelens.streaming import ingest as stream
-from usagelens.streaming import upsert, windows
+from usagelens.streaming import outliers, upsert, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,18 +106,56 @@ def _(spark, sf):
     )
 
 
-def _load(spark: SparkSession, sf: str) -> str:
+_BROKEN_RECORD = "CASE CAST(regexp_extract(email, '[0-9]+') AS BIGINT) % 50 WHEN 0 THEN 'too few fields' WHEN 1 THEN 'too many fields' WHEN 2 THEN 'broken quotes' END"
+_BROKEN_PEOPLE = f"""SELECT email, CASE WHEN CAST(regexp_extract(email, '[0-9]+') AS BIGINT) % 7 = 0
+    THEN full_name || chr(10) || '"Jr"' ELSE full_name END AS full_name, practice, level, location,
+    {_BROKEN_RECORD} AS reason FROM dim_employees"""
+
+
+@query(
+    "employee_records",
+    over(f"SELECT email, full_name, practice, level, location FROM ({_BROKEN_PEOPLE}) WHERE reason IS NULL"),
+)
+def _(spark, sf):
+    # good records among broken ones, some with line breaks in a name
+    return employees.read_employees(spark, sample_data.broken_employee_files(spark, sf))
+
+
+@query("employee_quarantine", over(f"SELECT reason, count(*) AS row_count FROM ({_BROKEN_PEOPLE}) WHERE reason IS NOT NULL GROUP BY reason"))
+def _(spark, sf):
+    # from the quarantine of a loaded star, where the broken log rows are as well
+    root = _load(spark, sf, sample_data.broken_employee_files(spark, sf))
+    rejected = star.read_quarantine(spark, root).filter(F.col("stage") == employees.STAGE)
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _load(spark: SparkSession, sf: str, people: str | None = None, layout: tuple[str, ...] = star.BY_TABLE) -> str:
     root = scratch_path(spark, "star")
-    ingest.load_star(
-        spark,
-        sample_data.raw_files(spark, sf),
-        sample_data.employee_files(spark, sf),
-        root,
-        star.BY_TABLE,
-    )
+    people = people or sample_data.employee_files(spark, sf)
+    ingest.load_star(spark, sample_data.raw_files(spark, sf), people, root, layout)
     return root
 
 
+def _even(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.typed_events(_parsed(spark, sf)).filter("event_id % 2 = 0")
+
+
+def _load_even(spark: SparkSession, sf: str, root: str) -> None:
+    star.write_star(sample_data.dim_employees(spark, sf), _even(spark, sf), f"{root}/star", star.BY_TABLE)
+
+
+def _two_parts(spark: SparkSession, sf: str) -> str:
+    """A star of the even events, loaded, and of all events, upserted; written once in an application."""
+
+    def write(path: str) -> None:
+        _load_even(spark, sf, path)
+        sidetables.brought_up(spark, f"{path}/star", sidetables.COST_MOMENTS, *sidetables.ROLLUPS)
+        delta = facts.typed_events(_parsed(spark, sf))
+        upsert.incremental_upsert(delta, f"{path}/star", star.BY_TABLE, sides=(sidetables.COST_MOMENTS, *sidetables.ROLLUPS))
+
+    return f"{sample_data.written_once(spark, sf, 'two-parts', write)}/star"
+
+
 LOAD_REPORT = over(
     f"""SELECT table_name, detail, count(*) AS row_count FROM (
         SELECT CASE kind WHEN 'api_request' THEN 'fact_api_requests'
@@ -678,6 +716,41 @@ on_star(
     ),
 )
 
+
+
+@query("cost_anomalies_stored", over(_COST_ANOMALIES, where=f"NOT {BROKEN}"))
+def _(spark, sf):
+    # mean and deviation from the moments kept beside the star's parts
+    root = _two_parts(spark, sf)
+    log = sidetables.brought_up(spark, root, sidetables.COST_MOMENTS)
+    known = sidetables.read_side(spark, root, log, sidetables.COST_MOMENTS)
+    return anomaly.cost_anomalies(star.read_star(spark, root), known=known)
+
+
+@query(
+    "cost_anomalies_stream",
+    over(
+        f"""SELECT epoch_ms, {_AT_SECOND}, user_email, model, round(cost_usd, 4) AS cost_usd, duration_ms,
+            {_SECONDS}, round(z, 2) AS z_score, session_id
+        FROM (SELECT *, (cost_usd - avg(cost_usd) OVER ()) / nullif(stddev(cost_usd) OVER (), 0) AS z
+            FROM (SELECT event_id, epoch_ms, user_email, model, session_id, TRY_CAST(cost_usd AS DOUBLE) AS cost_usd,
+                    TRY_CAST(duration_ms AS BIGINT) AS duration_ms FROM stg WHERE kind = 'api_request')
+            WHERE cost_usd > 0) WHERE z >= 3 AND CAST(event_id AS BIGINT) % 2 = 1""",
+        where=f"NOT {BROKEN}",
+    ),
+)
+def _(spark, sf):
+    # the even events are loaded; the odd ones come as a stream and are judged by all
+    root = scratch_path(spark, "outliers")
+    _load_even(spark, sf, root)
+    logs.to_log_batches(sample_data.messages(spark, sf).filter("CAST(id AS BIGINT) % 2 = 1")).write.text(f"{root}/odd")
+    lines = stream.stream_lines(spark, f"{root}/odd")
+    outliers.stream_cost_anomalies(
+        lines, f"{root}/star", f"{root}/checkpoint", f"{root}/out", partition_by=star.BY_TABLE
+    ).awaitTermination()
+    return outliers.read_outliers(spark, f"{root}/out").drop("batch")
+
+
 # Ad-hoc access
 
 on_star("list_tables", adhoc.list_tables, over(_ROW_COUNTS))
@@ -698,6 +771,23 @@ _ADHOC = """SELECT model, CAST(sum(CAST(cost_usd AS DECIMAL(18, 4))) AS DOUBLE)
 on_star("run_sql", lambda s: adhoc.run_sql(s, _ADHOC), over(_ADHOC))
 
 
+# Roll-ups kept beside the parts
+
+for _name, _report, _sql in [
+    ("kpis", rolled.kpis, ORACLES["kpis"]),
+    ("cost_by_practice", rolled.cost_by_practice, _cost_by("practice")),
+    ("cost_by_level", rolled.cost_by_level, _cost_by("level")),
+    ("token_efficiency_by_practice", rolled.token_efficiency_by_practice, ORACLES["token_efficiency_by_practice"]),
+    ("model_usage_breakdown", rolled.model_usage_breakdown, ORACLES["model_usage_breakdown"]),
+    ("tool_usage_frequency", rolled.tool_usage_frequency, ORACLES["tool_usage_frequency"]),
+    ("common_api_errors", rolled.common_api_errors, ORACLES["common_api_errors"]),
+    ("error_rate_by_model", rolled.error_rate_by_model, ORACLES["error_rate_by_model"]),
+]:
+    query(f"{_name}_rolled", without_broken(_sql))(
+        lambda spark, sf, report=_report: report(rolled.rolled(spark, _two_parts(spark, sf)))
+    )
+
+
 # Published findings
 
 on_star(
@@ -848,6 +938,45 @@ def _(spark, sf):
     )
 
 
+_MOVED = 36 * 3600 * 1000
+
+
+@query(
+    "upsert_replaces",
+    over(
+        f"""SELECT event_id, kind AS event_kind, user_email,
+        epoch_ms + CASE WHEN CAST(event_id AS BIGINT) % 10 = 0 THEN {_MOVED} ELSE 0 END AS epoch_ms,
+        CASE WHEN kind = 'api_request' THEN TRY_CAST(cost_usd AS DOUBLE) END AS cost_usd FROM stg""",
+        where=f"NOT {BROKEN}",
+    ),
+)
+def _(spark, sf):
+    # every tenth event comes again with another time, on another day, and then once more as it was then
+    root = scratch_path(spark, "replaced")
+    whole = sample_data.messages(spark, sf).filter(f"NOT ({sample_data.BROKEN_MESSAGE})")
+    star.append_part(facts.typed_events(parse.parse_lines(logs.to_log_batches(whole))), root)
+    moved = whole.filter("CAST(id AS BIGINT) % 10 = 0").withColumn("timestamp", F.col("timestamp") + _MOVED)
+    delta = facts.typed_events(parse.parse_lines(logs.to_log_batches(moved)))
+    upsert.incremental_upsert(delta, root)
+    upsert.incremental_upsert(delta, root)
+    return star.read_events(spark, root).select("event_id", "event_kind", "user_email", "epoch_ms", "cost_usd")
+
+
+@query(
+    "stream_without_repeats",
+    over(f"SELECT {columns_of('fact_tool_usage')} FROM fact_tool_usage", where=f"NOT {BROKEN}"),
+)
+def _(spark, sf):
+    # every line twice in the stream, and all files delivered again later: into a star by days, each event once
+    root = scratch_path(spark, "once")
+    for _ in range(2):
+        spark.read.text(sample_data.raw_files(spark, sf)).write.mode("append").text(f"{root}/logs")
+        lines = stream.stream_lines(spark, f"{root}/logs")
+        twice = lines.select(F.explode(F.array("value", "value")).alias("value"))
+        stream.stream_ingest(twice, f"{root}/star", f"{root}/checkpoint", lateness="10 days").awaitTermination()
+    return star.read_star(spark, f"{root}/star").contract("fact_tool_usage")
+
+
 _WINDOWS = f"""SELECT date_trunc('hour', {_AT}) AS window_start,
     date_trunc('hour', {_AT}) + INTERVAL 1 HOUR AS window_end, {COST.format('')} AS total_cost,
     {TOKENS.format('')} AS total_tokens, count(*) FILTER (WHERE kind = 'api_request') AS request_count,
@@ -862,25 +991,10 @@ def _(spark, sf):
     return windows.windowed_kpis(facts.typed_events(_parsed(spark, sf)))
 
 
-@query(
-    "windowed_kpis_stream",
-    over(
-        f"""SELECT * FROM ({_WINDOWS}) WHERE window_end <= (SELECT max({_AT}) FROM stg
-            WHERE kind IN ('api_request', 'api_error')) - INTERVAL 10 MINUTE""",
-        where=f"NOT {BROKEN}",
-    ),
-)
+@query("windowed_kpis_stream", over(_WINDOWS, where=f"NOT {BROKEN}"))
 def _(spark, sf):
-    # append mode: the windows the watermark has closed by the end of the input
+    # what the watermark has closed, and what is open at the end of the input
     root = scratch_path(spark, "windows")
     lines = stream.stream_lines(spark, sample_data.raw_files(spark, sf))
-    kpis = windows.windowed_kpis(stream.stream_events(lines), lateness="10 minutes")
-    run = (
-        kpis.writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    return spark.read.schema(kpis.schema).parquet(f"{root}/out")
+    windows.stream_windowed_kpis(lines, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return windows.read_windows(spark, f"{root}/out", f"{root}/checkpoint").drop("is_final")

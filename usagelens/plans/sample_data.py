@@ -170,7 +170,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _written: dict[tuple[str, ...], str] = {}
 
 
-def _written_once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
+def written_once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     """Path of sample files under the shared folder, written on first use in this application."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _written:
@@ -181,7 +181,7 @@ def _written_once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
 
 
 def raw_files(spark: SparkSession, sf_dir: str) -> str:
-    return _written_once(
+    return written_once(
         spark,
         sf_dir,
         "raw-logs",
@@ -194,7 +194,7 @@ def employee_files(spark: SparkSession, sf_dir: str) -> str:
     shuffled = dim_employees(spark, sf_dir).select(
         "location", "email", F.lit("x").alias("extra"), "level", "practice", "full_name"
     )
-    return _written_once(
+    return written_once(
         spark,
         sf_dir,
         "employees",
@@ -202,6 +202,35 @@ def employee_files(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+# Of every fifty employees one record lacks a field, one has one too many and one an unclosed quote; the names of
+# others hold a line break.
+BROKEN_RECORDS = {0: "too few fields", 1: "too many fields", 2: "broken quotes"}
+
+
+def broken_employee_files(spark: SparkSession, sf_dir: str) -> str:
+    """Employee CSV with malformed records and with line breaks inside good ones."""
+    names = employees.COLUMNS
+    rows = dim_employees(spark, sf_dir).withColumn("k", F.regexp_extract("email", "[0-9]+", 0).cast("long"))
+    rows = rows.withColumn(
+        "full_name", F.when(F.col("k") % 7 == 0, F.concat(F.col("full_name"), F.lit('\n"Jr"'))).otherwise(F.col("full_name"))
+    )
+    kind = F.col("k") % 50
+    quoted = [F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')) for c in names]
+    plain = [F.regexp_replace(F.col(c), '\n"Jr"', "") for c in names]
+    line = (
+        F.when(kind == 0, F.concat_ws(",", *plain[:-1]))
+        .when(kind == 1, F.concat_ws(",", *plain, F.lit("more")))
+        .when(kind == 2, F.concat_ws(",", F.concat(F.lit('"'), plain[0]), *plain[1:]))
+        .otherwise(F.concat_ws(",", *quoted))
+    )
+    return written_once(
+        spark,
+        sf_dir,
+        "broken-employees",
+        lambda path: employees.with_header(rows.select(line.alias("value")), ",".join(names)).write.mode("overwrite").text(path),
+    )
+
+
 def raw_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging columns after the way through JSON text."""
     return parse.stage_events(parse.parse_lines(raw_lines(spark, sf_dir)))

@@ -173,6 +173,10 @@ class DuplicateKeyError(TelemetryError):
     """dim_employees has a missing or repeated email."""
 
 
+class CommitConflictError(TelemetryError):
+    """Another writer changed the star meanwhile."""
+
+
 class UnknownTableError(TelemetryError):
     """A table name is not part of the star."""
 

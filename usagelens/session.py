@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # the JVM never compiles methods above this size; Spark then splits the projection instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # up to so many wanted ids reach the Bloom filters of the id index
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
 }
 
 

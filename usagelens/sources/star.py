@@ -1,23 +1,24 @@
 """The star schema on disk.
 
-    <root>/commits/                          one row per finished write
+    <root>/commits/                          which folders count (commits.py)
     <root>/versions/<v>/dim_employees/
     <root>/versions/<v>/events/part=<p>/table=<t>/event_date=<d>/    (or without the day level)
+    <root>/versions/<v>/removed/part=<p>/    events of other parts that part p replaces
+    <root>/versions/<v>/<side table>/<id>/part=<p>/    what is kept of each part (sidetables.py)
 
 Loads, streams and upserts all write parts: a part is one directory tree with all event tables, written by
-one job. It becomes visible with its row in `commits`, written last, so readers never see half of one. A
-load starts a new version; a stream or upsert adds a part to the newest. One writer at a time per root.
+one job. It becomes visible with its commit, written last, so readers never see half of one. A load starts a
+new version; a stream or upsert adds a part to the newest. Of two writers at once one gets an error.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from usagelens.functions.joins import hint_if_small
 from usagelens.schemas import (
     CONTRACT,
     FACT_TABLES,
@@ -26,13 +27,13 @@ from usagelens.schemas import (
     UNKNOWN_TABLE,
     MissingSourceError,
     Star,
-    struct,
 )
+from usagelens.sources.commits import Entry, Log, commit, read_log, remove_path
+from usagelens.sources.sidetables import REMOVED, SideTable, events_folder, read_folders, side_rows, write_side
 
 DAILY = ("table", "event_date")
 # for volumes where a day would make a tiny file
 BY_TABLE = ("table",)
-COMMIT = struct(seq="bigint", version="string", part="string")
 
 
 def events_path(root: str, version: str) -> str:
@@ -51,28 +52,13 @@ def write_events(
     balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    """(seq, version, part) of every finished write; empty where nothing was written yet."""
-    try:
-        return spark.read.schema(COMMIT).parquet(f"{root}/commits")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], COMMIT)
-        raise
-
-
-def _commit(spark: SparkSession, root: str, seq: int, version: str, part: str) -> None:
-    row = spark.createDataFrame([(seq, version, part)], COMMIT).coalesce(1)
-    row.write.mode("append").parquet(f"{root}/commits")
+def _part_path(root: str, version: str, part: str) -> str:
+    return f"{root}/versions/{version}/{events_folder(part)}"
 
 
-def _next_seq(spark: SparkSession, root: str) -> int:
+def _new_version(log: Log) -> str:
     """Writes are numbered, so a clock that runs behind can't hide one."""
-    return (commits(spark, root).agg(F.max("seq")).first()[0] or 0) + 1
-
-
-def _part_path(root: str, version: str, part: str) -> str:
-    return f"{events_path(root, version)}/part={part}"
+    return f"{log.seq + 1:012d}-{uuid.uuid4().hex[:8]}"
 
 
 def write_star(
@@ -80,56 +66,113 @@ def write_star(
 ) -> str:
     """Full rebuild from typed events; returns the new version."""
     spark = dim.sparkSession
-    seq = _next_seq(spark, root)
-    version = f"{seq:012d}-{uuid.uuid4().hex[:8]}"
+    log = read_log(spark, root)
+    version = _new_version(log)
     dim.write.mode("overwrite").parquet(f"{root}/versions/{version}/dim_employees")
     write_events(events, _part_path(root, version, "load"), "overwrite", partition_by)
-    _commit(spark, root, seq, version, "load")
+    commit(spark, root, log, [Entry(version, "events", "load", events_folder("load"))])
     return version
 
 
-def append_part(
-    events: DataFrame, root: str, part: str | None = None, partition_by: tuple[str, ...] = DAILY
-) -> None:
-    """Add typed events to the newest version, or to a new one without employees.
+def started(spark: SparkSession, root: str, partition_by: tuple[str, ...] = DAILY) -> Log:
+    """The log of the star at `root`; a new one has a version without employees and events."""
+    log = read_log(spark, root)
+    if log.version is None:
+        nobody = spark.createDataFrame([], CONTRACT["dim_employees"])
+        write_star(nobody, spark.createDataFrame([], TYPED_EVENT), root, partition_by)
+        log = read_log(spark, root)
+    return log
+
+
+def is_known(log: Log, part: str) -> bool:
+    """Whether a part of that name was ever added, also if it was joined with others since."""
+    return any(e.part == part for e in log.entries if e.table in ("events", "joined"))
+
 
-    A part that is committed already is left as it is, so a batch retried under its name counts once.
+def append_part(
+    events: DataFrame,
+    root: str,
+    part: str | None = None,
+    partition_by: tuple[str, ...] = DAILY,
+    sides: tuple[SideTable, ...] = (),
+) -> Log:
+    """Add typed events to the newest version, or to a new one without employees; returns the log then.
+
+    A part that is committed already is left as it is, so a batch retried under its name counts once. The
+    rows of `sides` are made from what was written and count with the same commit.
     """
     spark = events.sparkSession
-    if commits(spark, root).isEmpty():
-        nobody = spark.createDataFrame([], CONTRACT["dim_employees"])
-        write_star(nobody, spark.createDataFrame([], TYPED_EVENT), root, partition_by)
+    log = started(spark, root, partition_by)
     part = part or uuid.uuid4().hex
-    if not commits(spark, root).filter(F.col("part") == part).isEmpty():
-        return
-    version = current_version(spark, root)
+    if is_known(log, part):
+        return log
+    made = [write_part(events, root, log.version, part, partition_by)]
+    for side in sides:
+        made.append(write_side(side_rows(spark, root, log, side, made[0], []), side, root, log.version, part))
+    return commit(spark, root, log, made)
+
+
+def write_part(
+    events: DataFrame, root: str, version: str, part: str, partition_by: tuple[str, ...] = DAILY
+) -> Entry:
+    """Write a part's events; they count once the returned entry is committed."""
     write_events(events, _part_path(root, version, part), "overwrite", partition_by)
-    _commit(spark, root, _next_seq(spark, root), version, part)
+    return Entry(version, "events", part, events_folder(part))
 
 
 def compact(spark: SparkSession, root: str, partition_by: tuple[str, ...] = DAILY) -> str:
-    """Write the newest version's parts as one, as a new version. No stream may run meanwhile."""
-    dim = read_star(spark, root).dim_employees
-    return write_star(dim, read_events(spark, root), root, partition_by)
+    """Write the newest version's parts as one, without what was replaced, as a new version.
+
+    A stream that commits meanwhile makes this fail with a `CommitConflictError`; nothing is lost then.
+    """
+    log = read_log(spark, root)
+    version, old = _new_version(log), current_version(spark, root, log)
+    dim = read_dim(spark, root, old)
+    dim.write.mode("overwrite").parquet(f"{root}/versions/{version}/dim_employees")
+    made = write_part(read_events(spark, root, old, log), root, version, "load", partition_by)
+    # The names of the parts joined here stay known, so that none of them is written again.
+    names = [Entry(version, "joined", p, "") for p in [*log.parts(old), *log.parts(old, "joined")]]
+    commit(spark, root, log, [made, *names])
+    return version
 
 
-def current_version(spark: SparkSession, root: str) -> str:
-    newest = commits(spark, root).agg(F.max_by("version", "seq")).first()[0]
+def remove_versions(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Drop all but the newest `keep` versions, folders included; returns the dropped ones."""
+    log = read_log(spark, root)
+    known = list(dict.fromkeys(e.version for e in log.entries if e.table == "events"))
+    dropped = known[: max(0, len(known) - max(1, keep))]
+    if dropped:
+        commit(spark, root, log, [], tuple(dropped))
+        for version in dropped:
+            remove_path(spark, f"{root}/versions/{version}")
+    return dropped
+
+
+def current_version(spark: SparkSession, root: str, log: Log | None = None) -> str:
+    newest = (log or read_log(spark, root)).version
     if newest is None:
         raise MissingSourceError(f"no finished load at {root}: run the load first")
     return newest
 
 
-def read_events(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+def read_events(
+    spark: SparkSession, root: str, version: str | None = None, log: Log | None = None
+) -> DataFrame:
     """All typed events; a filter on `table` or `event_date` reads only those directories.
 
-    Only committed parts are read. Their names pass through the driver, one for each write since the last load.
+    Only committed parts are read, by their paths. Their names pass through the driver, one for each write since
+    the last load. Where upserts replaced events, these are left out.
     """
-    version = version or current_version(spark, root)
-    parts = [r.part for r in commits(spark, root).filter(F.col("version") == version).collect()]
-    schema = T.StructType([*TYPED_EVENT.fields, T.StructField("part", T.StringType())])
-    events = spark.read.schema(schema).parquet(events_path(root, version))
-    return events.filter(F.col("part").isin(parts)).drop("part")
+    log = log or read_log(spark, root)
+    version = version or current_version(spark, root, log)
+    events = read_folders(spark, root, log.of(version, "events"), TYPED_EVENT)
+    if removals := log.of(version, "removed"):
+        gone = hint_if_small(read_folders(spark, root, removals, REMOVED).select(
+            F.col("event_id").alias("__id"), F.col("old_part").alias("__part")
+        ))
+        replaced = (F.col("event_id") == F.col("__id")) & (F.col("part") == F.col("__part")) & F.col("stage").isNull()
+        events = events.join(gone, replaced, "left_anti")
+    return events.drop("part")
 
 
 def _of_table(events: DataFrame, name: str) -> DataFrame:
@@ -142,15 +185,18 @@ def star_from_events(dim: DataFrame, events: DataFrame) -> Star:
     return Star(dim_employees=dim, **{name: _of_table(events, name) for name in FACT_TABLES})
 
 
-def read_star(spark: SparkSession, root: str, version: str | None = None) -> Star:
-    version = version or current_version(spark, root)
+def read_dim(spark: SparkSession, root: str, version: str) -> DataFrame:
     path = f"{root}/versions/{version}/dim_employees"
-    dim = spark.read.schema(CONTRACT["dim_employees"]).parquet(path)
-    return star_from_events(dim, read_events(spark, root, version))
+    return spark.read.schema(CONTRACT["dim_employees"]).parquet(path)
+
+
+def read_star(spark: SparkSession, root: str, version: str | None = None) -> Star:
+    log = read_log(spark, root)
+    version = version or current_version(spark, root, log)
+    return star_from_events(read_dim(spark, root, version), read_events(spark, root, version, log))
 
 
 def read_quarantine(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    version = version or current_version(spark, root)
     rejected = read_events(spark, root, version).filter(
         F.col("table") == QUARANTINE_TABLE
     )
@@ -158,6 +204,5 @@ def read_quarantine(spark: SparkSession, root: str, version: str | None = None)
 
 
 def read_unknown(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    version = version or current_version(spark, root)
     events = read_events(spark, root, version)
     return events.filter(F.col("table") == UNKNOWN_TABLE).select("body", "event_id", "epoch_ms")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.functions.casts import to_instant
 from usagelens.operators import facts, parse
+from usagelens.sources.sidetables import SideTable
 from usagelens.sources.star import DAILY, append_part
 
 
@@ -35,20 +36,26 @@ def stream_ingest(
     root: str,
     checkpoint: str,
     partition_by: tuple[str, ...] = DAILY,
+    sides: tuple[SideTable, ...] = (),
+    lateness: str | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Append typed events to the star at `root`, exactly once, a part for each micro-batch.
 
-    No event is dropped for being late. Each batch is balanced into files of a sensible size; many small
-    batches are joined by `star.compact`.
+    With `lateness`, an event whose id came within that time before is left out (`without_repeats`), across
+    micro-batches and restarts, with the ids of that time as state; without it none is. No event is dropped for
+    being late. Each batch is balanced into files of a sensible size; many small batches are joined by
+    `star.compact`. The rows of `sides` are kept up with every batch.
     """
+    # Where repeats are dropped the events are parsed in the stream, before its state; the sink is the same.
+    rows = lines if lateness is None else without_repeats(stream_events(lines), lateness)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        events = facts.typed_events(parse.parse_lines(batch))
-        append_part(events, root, part_name(checkpoint, batch_id), partition_by)
+        events = facts.typed_events(parse.parse_lines(batch)) if lateness is None else batch
+        append_part(events, root, part_name(checkpoint, batch_id), partition_by, sides)
 
     return (
-        lines.writeStream.foreachBatch(apply)
+        rows.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from usagelens.functions.joins import hint_if_small
 from usagelens.operators import facts, parse
 from usagelens.schemas import TYPED_EVENT
 from usagelens.session import scratch_path
-from usagelens.sources.star import DAILY, append_part, commits, read_events
+from usagelens.sources import idindex
+from usagelens.sources.commits import Entry, Log, commit, remove_path
+from usagelens.sources.idindex import is_bad
+from usagelens.sources.sidetables import REMOVED, SideTable, brought_up, read_folders, side_rows, write_side
+from usagelens.sources.star import DAILY, is_known, started, write_part
 from usagelens.streaming.ingest import part_name
 
 
-def _is_bad() -> Column:
-    return F.col("stage").isNotNull()
-
-
 def one_per_id(events: DataFrame) -> DataFrame:
     """One row for each event id, a good one before a rejected one; events without an id are all kept.
 
@@ -24,59 +27,77 @@ def one_per_id(events: DataFrame) -> DataFrame:
     that combines before the shuffle, so an id that repeats a million times is one row a task.
     """
     columns = TYPED_EVENT.fieldNames()
-    row = F.struct(_is_bad().alias("bad"), F.col("epoch_ms").alias("ms"), F.struct(*columns).alias("row"))
+    row = F.struct(is_bad().alias("bad"), F.col("epoch_ms").alias("ms"), F.struct(*columns).alias("row"))
     with_id = events.filter("event_id IS NOT NULL").groupBy("event_id").agg(F.min(row).alias("least"))
     once = with_id.select("least.row.*")
     return once.unionByName(events.filter("event_id IS NULL").select(*columns))
 
 
-def new_events(delta: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Delta events whose id is not loaded yet.
-
-    A repeated delivery carries the same timestamp, hence the same day: comparing day and id lets the caller
-    read only the days the delta touches. A loaded rejected row keeps out its repetition, not its repair.
-    """
-    stored = (
-        loaded.filter("event_id IS NOT NULL")
-        .groupBy(F.col("event_id").alias("__id"), F.col("event_date").alias("__day"))
-        .agg(F.bool_or(~_is_bad()).alias("__good"))
+def loaded_before(delta: DataFrame, root: str, log: Log) -> DataFrame:
+    """(event_id, any_good, same_time, good_parts) for the ids of `delta` that are loaded; replaced events do not count."""
+    spark = delta.sparkSession
+    found = idindex.looked_up(spark, root, log, delta)
+    if removals := log.of(log.version, "removed"):
+        gone = read_folders(spark, root, removals, REMOVED).select("event_id", F.col("old_part").alias("part"), F.lit(True).alias("is_good"))
+        found = found.join(hint_if_small(gone), ["event_id", "part", "is_good"], "left_anti")
+    times = delta.select(F.col("event_id").alias("__id"), F.col("epoch_ms").alias("__ms"))
+    same = F.col("is_good") & F.col("epoch_ms").eqNullSafe(F.col("__ms"))
+    return (
+        found.join(times, F.col("event_id") == F.col("__id"))
+        .groupBy("event_id")
+        .agg(
+            F.bool_or("is_good").alias("any_good"),
+            F.bool_or(same).alias("same_time"),
+            F.collect_set(F.when(F.col("is_good"), F.col("part"))).alias("good_parts"),
+        )
     )
-    same = (F.col("event_id") == F.col("__id")) & F.col("event_date").eqNullSafe(F.col("__day"))
-    return one_per_id(delta).join(stored, same & (F.col("__good") | _is_bad()), "left_anti")
-
-
-def _touched_days(loaded: DataFrame, delta: DataFrame) -> DataFrame:
-    """The loaded rows of exactly the days that occur in the delta; one value a day reaches the driver."""
-    days = [r.event_date for r in delta.select("event_date").distinct().collect()]
-    day = F.col("event_date")
-    keep = day.isin([d for d in days if d is not None])
-    return loaded.filter(keep | day.isNull() if None in days else keep)
-
-
-def _remove(spark, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def incremental_upsert(
-    delta: DataFrame, root: str, partition_by: tuple[str, ...] = DAILY, part: str | None = None
+    delta: DataFrame,
+    root: str,
+    partition_by: tuple[str, ...] = DAILY,
+    part: str | None = None,
+    sides: tuple[SideTable, ...] = (),
 ) -> None:
     """Add the unseen events of `delta` (typed events) to the star at `root`, all of them or none.
 
-    Running it again with the same delta adds nothing but rejected events that carry no id.
+    An id is looked up in the id index, whatever its day. A good event of a loaded id and time is a repeat and is
+    left out; with another time it replaces the loaded one: the delivery that comes last counts. A rejected row
+    keeps out its repetition, not its repair. Running this again with the same delta adds nothing but rejected
+    events that carry no id. `sides` get the rows of what is added, less those of what is replaced.
     """
     spark = delta.sparkSession
-    staged = scratch_path(spark, "delta")
-    delta.write.parquet(staged)  # parsed once; read for its days and for the comparison
+    log = started(spark, root, partition_by)
+    part = part or uuid.uuid4().hex
+    if is_known(log, part):
+        return
+    log = idindex.brought_up(spark, root, log)
+    log = brought_up(spark, root, *sides, log=log)
+    staged, version = scratch_path(spark, "delta"), log.version
+    one_per_id(delta).write.parquet(f"{staged}/rows")  # parsed once
     try:
-        delta = spark.read.schema(TYPED_EVENT).parquet(staged)
-        if commits(spark, root).isEmpty():
-            fresh = one_per_id(delta)
-        else:
-            fresh = new_events(delta, _touched_days(read_events(spark, root), delta))
-        append_part(fresh, root, part, partition_by)
+        once = spark.read.schema(TYPED_EVENT).parquet(f"{staged}/rows")
+        loaded_before(once, root, log).write.parquet(f"{staged}/known")
+        known = spark.read.parquet(f"{staged}/known").withColumnRenamed("event_id", "__id")
+        judged = once.join(known, F.col("event_id") == F.col("__id"), "left")
+        is_new = F.col("__id").isNull() | ~is_bad() & ~F.col("same_time")
+        fresh = judged.filter(is_new).select(*TYPED_EVENT.fieldNames())
+        made = [write_part(fresh, root, version, part, partition_by)]
+        written = read_folders(spark, root, made, TYPED_EVENT)
+        made.append(idindex.write_ids(written, root, version, part))
+
+        # One row for each replaced event.
+        replaced = judged.filter(~is_bad() & F.col("any_good") & ~F.col("same_time"))
+        removed = replaced.select("event_id", F.explode("good_parts").alias("old_part"))
+        removed.coalesce(1).write.parquet(f"{root}/versions/{version}/removed/{part}/part={part}")
+        removal = Entry(version, "removed", part, f"removed/{part}/part={part}")
+        removals = [] if read_folders(spark, root, [removal], REMOVED).isEmpty() else [removal]
+        for side in sides:
+            made.append(write_side(side_rows(spark, root, log, side, made[0], removals), side, root, version, part))
+        commit(spark, root, log, [*made, *removals])
     finally:
-        _remove(spark, staged)
+        remove_path(spark, staged)
 
 
 def stream_upsert(
@@ -84,13 +105,14 @@ def stream_upsert(
     root: str,
     checkpoint: str,
     partition_by: tuple[str, ...] = DAILY,
+    sides: tuple[SideTable, ...] = (),
     **trigger,
 ) -> StreamingQuery:
     """Micro-batch upsert, exact however late a repeat arrives; a batch retried after a failure counts once."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         events = facts.typed_events(parse.parse_lines(batch))
-        incremental_upsert(events, root, partition_by, part_name(checkpoint, batch_id))
+        incremental_upsert(events, root, partition_by, part_name(checkpoint, batch_id), sides)
 
     return (
         lines.writeStream.foreachBatch(apply)
