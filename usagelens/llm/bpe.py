@@ -37,7 +37,7 @@ REMEMBERED_CHARS = 64
 HELD = 1 << 17
 
 #: How byte-level vocabularies cut a text into words.
-ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+ENDINGS = "'(?:[stmd]|re|ve|ll)"
 WORDS = ENDINGS + r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Letters and numbers of Unicode versions after 16, which are neither to the tokenizers.
 LATER = (
