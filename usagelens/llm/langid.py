@@ -1,10 +1,11 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
-Training counts the trigrams of every language over all its documents. A language keeps the trigrams that
-make up at least `MIN_SHARE` of its text and are not far more common in another language. All languages
-share one array of slots: bit l of a slot belongs to language l. A lookup ANDs the slots of a trigram and
-so yields all languages that hold it at once. A document's language is the one with the highest count of
-held trigrams, after the hits that false positives explain have been taken off.
+Training counts the trigrams of every language over all its documents. A language keeps its most frequent
+trigrams, those left out that are far more common in another language: all of them up to a number that the size of
+the filter sets, and as many of a language whose trigrams are all rare as of any other. All languages share one array
+of slots: bit l of a slot belongs to language l. A lookup ANDs the slots of a trigram and so yields all languages
+that hold it at once. A document's language is the one with the highest count of held trigrams, after the hits that
+false positives explain have been taken off.
 """
 
 from __future__ import annotations
@@ -14,19 +15,22 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import LlmError, mixed, pieces, with_columns
+from usagelens.functions.joins import hint_if_small
+from usagelens.llm.common import mixed, pieces, stored, with_columns
 
-#: A trigram's least share of a language's trigrams. It bounds those kept: 1 / MIN_SHARE a language.
-MIN_SHARE = 1e-5
+#: Slots of the whole filter, 8 bytes each, whatever the number of languages and trigrams. Every 64 languages take
+#: one row of slots, and a language keeps a trigram for every SLOTS_PER_KEY of its row: 262,144 up to 64 languages.
+MAX_SLOTS = 1 << 22
 #: A trigram is left to the languages in which its share is at least this part of the highest one.
 MIN_OF_BEST = 0.25
-MAX_LANGUAGES = 1024
 HASHES = 3
 SLOTS_PER_KEY = 16
 UNKNOWN = "und"
+# Slots that travel as one value.
+BLOCK = 1 << 15
 # Trigrams that a task holds before it sums them up.
 HELD = 4 << 20
 
@@ -90,28 +94,46 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def slots_of(grams: np.ndarray, mask: int) -> list[np.ndarray]:
+    """The places of each trigram's bits in a row of `mask` + 1 slots."""
+    first = mixed(grams)
+    step = (first >> np.uint64(32)) | np.uint64(1)
+    return [((first + np.uint64(k) * step) & np.uint64(mask)).astype(np.int64) for k in range(HASHES)]
+
+
+def row_slots(most_grams: int, n_rows: int) -> int:
+    """Slots of a row: SLOTS_PER_KEY for each trigram of the language with most, within MAX_SLOTS for all rows."""
+    slots = 1 << 10
+    while slots < most_grams * SLOTS_PER_KEY and 2 * slots * n_rows <= MAX_SLOTS:
+        slots *= 2
+    return slots
+
+
 class Profiles:
     """One bit-sliced Bloom filter over the trigrams of all languages."""
 
     def __init__(self, grams: dict[str, np.ndarray], sizes: dict[str, int]):
+        """A small filter at once; `learn` has tasks fill a large one."""
         # Equal counts go to the language with more training text.
-        self.langs = sorted(grams, key=lambda x: (-sizes[x], x))
-        most = max((len(g) for g in grams.values()), default=1)
-        self.mask = (1 << max(10, int(np.ceil(np.log2(most * SLOTS_PER_KEY))))) - 1
-        self.words = np.zeros((-(-max(1, len(self.langs)) // 64), self.mask + 1), dtype=np.uint64)
-        for i, lang in enumerate(self.langs):
-            for at in self.slots(grams[lang]):
-                self.words[i // 64, at] |= np.uint64(1 << (i % 64))
-        filled = [
-            np.count_nonzero(self.words[i // 64] & np.uint64(1 << (i % 64))) / (self.mask + 1)
-            for i in range(len(self.langs))
-        ]
-        self.false_rate = np.array(filled) ** HASHES
-
-    def slots(self, grams: np.ndarray) -> list[np.ndarray]:
-        first = mixed(grams)
-        step = (first >> np.uint64(32)) | np.uint64(1)
-        return [((first + np.uint64(k) * step) & np.uint64(self.mask)).astype(np.int64) for k in range(HASHES)]
+        langs = sorted(grams, key=lambda x: (-sizes[x], x))
+        n_rows = -(-max(1, len(langs)) // 64)
+        words = np.zeros((n_rows, row_slots(max((len(g) for g in grams.values()), default=1), n_rows)), dtype=np.uint64)
+        for i, lang in enumerate(langs):
+            for at in slots_of(grams[lang], words.shape[1] - 1):
+                words[i // 64, at] |= np.uint64(1 << (i % 64))
+        self._set(langs, words)
+
+    @classmethod
+    def of_words(cls, langs: list[str], words: np.ndarray) -> Profiles:
+        """`words[w, slot]` has a bit for each of the languages 64 w to 64 w + 63, which come in order of preference."""
+        out = cls.__new__(cls)
+        out._set(langs, words)
+        return out
+
+    def _set(self, langs: list[str], words: np.ndarray) -> None:
+        self.langs, self.words, self.mask = langs, words, words.shape[1] - 1
+        filled = [np.count_nonzero(words[i // 64] & np.uint64(1 << (i % 64))) / (self.mask + 1) for i in range(len(langs))]
+        self.false_rate = np.minimum(np.array(filled) ** HASHES, 0.99)
 
     def hits(self, grams: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Corrected counts, one row a text, one column a language."""
@@ -119,7 +141,7 @@ class Profiles:
         out = np.zeros((len(n), len(self.langs)))
         if not len(grams):
             return out
-        slots = self.slots(grams)
+        slots = slots_of(grams, self.mask)
         for w, row in enumerate(self.words):
             held = row[slots[0]]
             for at in slots[1:]:
@@ -141,26 +163,75 @@ class Profiles:
         return [self.langs[b] if k else UNKNOWN for b, k in zip(best, n)], score
 
 
-def learn(docs: DataFrame, min_share: float = MIN_SHARE) -> Profiles:
+def _level(n) -> Column:
+    """A coarse size of a count: exact up to 8, then eight levels for each doubling."""
+    return F.when(n <= 8, n).otherwise(F.floor(F.log2(n) * 8)).cast("int")
+
+
+def chosen(kept: DataFrame, most: int) -> DataFrame:
+    """The `most` most frequent trigrams of each language, about; a table of some 500 levels a language sets the cut.
+
+    Within the level where the cut falls, the trigrams' hashes decide, so a language all of whose trigrams are equally
+    rare keeps a random part of them.
+    """
+    sized = kept.withColumn("level", _level(F.col("n")))
+    levels = sized.groupBy("lang", "level").agg(F.count(F.lit(1)).alias("in_level"))
+    # one row for each level of a language
+    above = F.coalesce(F.sum("in_level").over(Window.partitionBy("lang").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = levels.withColumn("part", F.greatest(F.lit(0.0), F.lit(most) - above) / F.col("in_level")).filter("part > 0")
+    random = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    return sized.join(part.select("lang", "level", "part"), ["lang", "level"]).filter(random < F.col("part")).select("lang", "gram")
+
+
+def learn(docs: DataFrame) -> Profiles:
     """Profiles of all languages in `docs` (lang, text), counted over every row.
 
-    Rows without text or language teach nothing. Only trigrams above `min_share` reach the driver: at most
-    1 / min_share for each language, whatever the size of the corpus.
+    Rows without text or language teach nothing. The driver sees the languages with their sizes, and the finished
+    filter in pieces that tasks have made: 32 MB at most.
     """
-    counts = trigram_counts(docs)
-    total = F.sum("n").over(Window.partitionBy("lang"))
-    share = counts.withColumn("total", total).withColumn("share", F.col("n") / F.col("total"))
-    common = share.filter(F.col("share") >= min_share)
-    best = F.max("share").over(Window.partitionBy("gram"))
-    kept = common.withColumn("best", best).filter(F.col("share") >= MIN_OF_BEST * F.col("best"))
-    grams: dict[str, list[int]] = {}
-    sizes: dict[str, int] = {}
-    for row in kept.select("lang", "gram", "total").toLocalIterator():
-        grams.setdefault(row.lang, []).append(row.gram)
-        sizes[row.lang] = row.total
-        if len(grams) > MAX_LANGUAGES:
-            raise LlmError(f"more than {MAX_LANGUAGES} languages")
-    return Profiles({k: np.array(sorted(v), dtype=np.int64).view(np.uint64) for k, v in grams.items()}, sizes)
+    spark = docs.sparkSession
+    counts = stored(trigram_counts(docs), "trigrams")
+    sizes = stored(counts.groupBy("lang").agg(F.sum("n").alias("total")), "languages")
+    # Equal counts go to the language with more training text.
+    langs = [row.lang for row in sizes.orderBy(F.desc("total"), "lang").collect()]  # one row a language
+    n_rows = max(1, -(-len(langs) // 64))
+    share = counts.join(hint_if_small(sizes), "lang").withColumn("share", F.col("n") / F.col("total"))
+    best = F.max("share").over(Window.partitionBy("gram"))  # a row for each language at most
+    kept = share.withColumn("best", best).filter(F.col("share") >= MIN_OF_BEST * F.col("best"))
+    kept = stored(kept.select("lang", "gram", "n"), "kept-trigrams")
+    most = kept.groupBy("lang").count().agg(F.max("count")).first()[0] or 0
+    slots = row_slots(most, n_rows)
+    places = spark.sparkContext.broadcast({x: i for i, x in enumerate(langs)})
+
+    def bits(batches):
+        for batch in batches:
+            place = np.array([places.value[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
+            for at in slots_of(batch.column("gram").to_numpy().view(np.uint64), slots - 1):
+                bit = np.uint64(1) << (place % 64).astype(np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place // 64), pa.array(at), pa.array(bit.view(np.int64))], names=["word", "slot", "bit"]
+                )
+
+    set_bits = chosen(kept, slots // SLOTS_PER_KEY).mapInArrow(bits, "word long, slot long, bit long")
+    filled = set_bits.groupBy("word", "slot").agg(F.bit_or("bit").alias("bits"))
+    pair = F.struct((F.col("slot") % BLOCK).cast("int").alias("at"), "bits")
+    blocks = filled.groupBy("word", F.expr(f"slot div {BLOCK}").alias("block")).agg(F.collect_list(pair).alias("pairs"))  # BLOCK at most
+
+    def packed(batches):
+        for batch in batches:
+            out = []
+            for pairs in batch.column("pairs"):
+                found = np.zeros(min(BLOCK, slots), dtype=np.int64)
+                values = pairs.values
+                found[values.field("at").to_numpy()] = values.field("bits").to_numpy()
+                out.append(found.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("block"), pa.array(out, pa.binary())], names=["word", "block", "bits"])
+
+    words = np.zeros((n_rows, slots), dtype=np.uint64)
+    for row in blocks.mapInArrow(packed, "word long, block long, bits binary").collect():
+        start = row.block * BLOCK
+        words[row.word, start : start + BLOCK] = np.frombuffer(row.bits, dtype=np.uint64)
+    return Profiles.of_words(langs, words)
 
 
 def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
