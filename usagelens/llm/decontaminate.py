@@ -100,7 +100,7 @@ class Searcher:
             for start, pattern in m.find(words):
                 spans.append((start, start + m.length))
                 items |= self.owners[pattern]
-        return joined(spans), items
+        return joined(spans), items - {None}
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -134,19 +134,17 @@ def parts_of(words: list[bytes], window: int, limit: int) -> Iterator[tuple[list
     yield words[start:end], cost
 
 
-def searchers(benchmark: DataFrame, window: int, limit: int, unnamed: bool = False) -> Iterator[Searcher]:
-    """The benchmark's items, read one after another, as search tables of bounded size; those without id if `unnamed`."""
-    held: list[tuple[str, list[bytes]]] = []
+def searchers(benchmark: DataFrame, window: int, limit: int) -> Iterator[Searcher]:
+    """The benchmark's items, read one after another, as search tables of bounded size."""
+    held: list[tuple[str | None, list[bytes]]] = []
     size = 0
     items = with_columns(benchmark, "item_id", "text").filter("text is not null")
-    if not unnamed:
-        items = items.filter("item_id is not null")
     for row in items.toLocalIterator():
         for words, cost in parts_of(split_words(row.text), window, limit):
             if held and size + cost > limit:
                 yield Searcher(held, window)
                 held, size = [], 0
-            held.append((str(row.item_id), words))
+            held.append((None if row.item_id is None else str(row.item_id), words))
             size += cost
     yield Searcher(held, window)
 
@@ -167,8 +165,8 @@ def find_spans(
 ) -> DataFrame:
     """doc_id, text, n_words, spans (start and end words, flat), items (sorted) for each row of `docs`.
 
-    A null or empty text has no words and no hits. Items without id or words have no windows; equal items
-    are each reported. Rows may repeat; extra columns are ignored; an empty benchmark hits nothing.
+    A null or empty text has no words and no hits. An item without words has no windows, one without id has
+    windows but is not named; equal items are each reported. Rows may repeat; extra columns are ignored; an empty benchmark hits nothing.
     """
     empty = F.array().cast("array<bigint>"), F.array().cast("array<string>")
     rows = with_columns(docs, "doc_id", "text").select(
@@ -222,8 +220,12 @@ def hits(found: DataFrame) -> DataFrame:
 
 
 def clean_only(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = MAX_PATTERN_BYTES) -> DataFrame:
-    """The rows of `docs`, all columns, whose text holds no window of the benchmark, items without id included."""
-    for searcher in searchers(benchmark, window, limit, unnamed=True):
+    """The rows of `docs`, all columns, whose text holds no window of the benchmark, items without id included.
+
+    A null or empty text has no words and stays; an empty benchmark drops nothing.
+    """
+    for n, searcher in enumerate(searchers(benchmark, window, limit)):
+        docs = stored(docs, "decontaminate") if n else docs  # one pass's tables in a job
         tables = docs.sparkSession.sparkContext.broadcast(searcher)
 
         def keep(batches, tables=tables):
