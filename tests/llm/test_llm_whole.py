@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from usagelens.llm import decontaminate, mixing, pii, toxicity
+from usagelens.llm.common import buckets_for
 
 
 def spans_of(spark, docs):
@@ -143,3 +144,61 @@ def test_items_without_id_count_where_no_names_are_wanted(spark):
     items = spark.createDataFrame([(None, "secret passage"), (1, "other words")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a secret passage here"), (2, "other words"), (3, "clean")], "doc_id long, text string")
     assert [r.doc_id for r in decontaminate.clean_only(docs, items).collect()] == [3]
+
+
+def test_items_without_id_have_windows_but_no_name(spark):
+    items = spark.createDataFrame([(None, "secret passage"), (1, "other words"), (None, "Other words")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a secret passage here"), (2, "other words"), (3, "clean")], "doc_id long, text string")
+    found = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.hits(decontaminate.find_spans(docs, items)).collect()}
+    assert found == {1: (2, 0, True), 2: (2, 1, True), 3: (0, 0, False)}
+
+
+def test_equal_rows_of_two_sources_keep_their_sources(spark):
+    rows = [(1, "one two three four", s) for s in ("a", "b", None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = {}
+    for r in mixing.mix(docs).collect():
+        copies[r.source] = copies.get(r.source, 0) + r.copies
+    found = [r.source for r in mixing.mixed_rows(docs).collect()]
+    assert {s: found.count(s) for s in copies} == copies
+
+
+def mixed_by_hand(rows, found, shards):
+    """(taken, shards) of every document, from each block of the mix: one word, to the highest quotient."""
+    goals = {}
+    for r in found:
+        goals[r.source] = (r.target, r.source_size)
+    order = sorted(goals, key=lambda s: (s is None, s or ""))
+    queue = [(-goals[s][0], rank, 0, s) for rank, s in enumerate(order) if goals[s][0] > 0]
+    heapq.heapify(queue)
+    total = sum(size for _, size in goals.values())
+    lines = {s: [] for s in goals}
+    for n, r in sorted(enumerate(found), key=lambda x: line_order(x[1], len(found))):
+        lines[r.source] += [n] * r["size"]
+    taken, where = [0] * len(found), [set() for _ in found]
+    for place in range(total):
+        _, rank, seat, s = heapq.heappop(queue)
+        # shard k ends at total * (k + 1) // shards
+        shard = next(k for k in range(place * shards // total, shards) if place < total * (k + 1) // shards)
+        document = lines[s][seat % len(lines[s])]
+        taken[document] += 1
+        where[document].add(shard)
+        if seat + 1 < mixing.MOST_REPEATS * goals[s][1]:
+            heapq.heappush(queue, (-(goals[s][0] / (2 * seat + 3)), rank, seat + 1, s))
+    return [(n, sorted(w)) for n, w in zip(taken, where)]
+
+
+def line_order(r, n_rows):
+    return (r.place >> 20) % buckets_for(n_rows), r.place, r.doc_id, r["size"]
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", None])
+def test_every_block_goes_where_the_highest_quotient_says(spark, folder):
+    if folder:
+        docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    else:
+        rng = np.random.default_rng(2)
+        rows = [(i, "w " * int(rng.integers(0, 30)), [None, "a", "b", "b", "b", "c", "e"][int(rng.integers(0, 7))]) for i in range(300)]
+        docs = spark.createDataFrame([*rows, (400, "x", "tiny"), (401, None, "none")], "doc_id long, text string, source string")
+    found = mixing.mix(docs).collect()
+    assert [(r.taken, sorted(r.shards)) for r in found] == mixed_by_hand(docs, found, mixing.SHARDS)

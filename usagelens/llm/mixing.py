@@ -1,11 +1,12 @@
 """Mixing sources to target weights.
 
-Every source's documents are laid on a line of words in a seeded order. The words of the mix are handed to
-sources by highest quotient (Sainte-Laguë: target over odd numbers, a seat for each word), so a source's quota
-is its target to about a word at any size of the corpus. A source's quota then takes its words: all of them as
-often as it goes round, and of what is left the first ones of the seeded order. Where whole documents are
-wanted, one goes where its middle lies, so a source is off its target by half a document at most besides.
-`quotas` cuts the sequence of seats, in blocks of many words, into shards; the mix itself is by source only.
+The blocks of the mix, a word each, are handed to sources by highest quotient (Sainte-Laguë: target over odd
+numbers), so a source's quota is its target to about a word at any size of the corpus. The sequence of blocks is cut
+into shards of as many blocks; each shard's blocks of a source are its integer quota of that source. Every source's
+documents are laid on a line of words in a seeded order, gone round as often as the quota asks, and the shards
+select their quotas along it, one after another: `taken` is what all shards select of a document, `shards` which do.
+Where whole documents are wanted, one goes where its middle lies, so a source is off its target by half a document
+at most besides. `quotas` deals larger blocks.
 
 Everything is a DataFrame function. The text is read once; all later steps work on one narrow row for
 each document, one for each source, and few seats a source: most of a source's seats are counted, not listed.
@@ -104,30 +105,52 @@ def seats(goals: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataF
     )
 
 
-def word_quotas(goals: DataFrame, most_repeats: int = MOST_REPEATS) -> DataFrame:
-    """rank, quota: how many words the mix takes of each source with a target above 0.
+def _filled(goals: DataFrame, most_repeats: int) -> DataFrame:
+    """rank, house, quota: how many of the first `words` blocks of the mix are each source's, for every house.
 
-    These are the seats by highest quotient for blocks of one word, as many as there are words. A source has
-    round(target / d) of them for a common d near 1. Bounds of d, from roundings of half a word a source, say
-    which seats are surely in and which surely out; only those between are listed and ranked. No source has
-    more than its words `most_repeats` times.
+    `goals` has a row for each house (a number of blocks, `words`) and source, with the source's `target` for the whole
+    mix and `share`, the part of it that falls to so many blocks. A source has round(share / d) seats for a common d
+    near 1. Bounds of d, from roundings of half a word a source, say which seats are surely in and which surely out;
+    only those between are listed and ranked. No source has more than its words `most_repeats` times.
     """
-    everything = Window.partitionBy()
+    everything = Window.partitionBy("house")
     cap = F.col("source_size") * most_repeats
     # With these, d down to 2/3 hands out more words without reaching a cap.
-    roomy = F.sum(F.when(F.col("target") * 3 <= cap * 2, F.col("target"))).over(everything)
-    words, slack = F.sum("source_size").over(everything), F.count("*").over(everything) + 1
+    roomy = F.sum(F.when(F.col("share") * 3 <= cap * 2, F.col("share"))).over(everything)
+    slack = F.count("*").over(everything) + 1
     rounded = lambda x: F.floor(x + 0.5)
-    bounds = goals.withColumn("words", words).filter("target > 0").withColumns({
-        "sure": F.least(cap, rounded(F.col("target") * F.greatest(F.lit(0.0), 1 - slack / (2 * F.col("words"))))),
-        "most": F.least(cap, F.coalesce(rounded(F.col("target") * (1 + slack / roomy)), cap)),
+    bounds = goals.withColumns({"sum_roomy": roomy, "slack": slack}).filter("share > 0").withColumns({
+        "sure": F.least(cap, rounded(F.col("share") * F.greatest(F.lit(0.0), 1 - F.col("slack") / (2 * F.col("words"))))),
+        "most": F.least(cap, F.coalesce(rounded(F.col("share") * (1 + F.col("slack") / F.col("sum_roomy"))), cap)),
     })
     left = bounds.withColumn("left", F.col("words") - F.sum("sure").over(everything))
     seat = F.explode(F.sequence("sure", F.col("most") - 1)).alias("seat")
-    order = Window.orderBy(F.desc(F.col("target") / (2 * F.col("seat") + 1)), "rank", "seat")
-    between = left.filter("most > sure").select("rank", "target", "left", seat).withColumn("place", F.row_number().over(order))
-    more = between.filter("place <= left").groupBy("rank").agg(F.count("*").alias("more"))
-    return left.join(more, "rank", "left").select("rank", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("quota"))
+    order = Window.partitionBy("house").orderBy(F.desc(F.col("target") / (2 * F.col("seat") + 1)), "rank", "seat")
+    between = left.filter("most > sure").select("rank", "house", "target", "left", seat).withColumn("place", F.row_number().over(order))
+    more = between.filter("place <= left").groupBy("rank", "house").agg(F.count("*").alias("more"))
+    return left.join(more, ["rank", "house"], "left").select("rank", "house", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("quota"))
+
+
+def word_quotas(goals: DataFrame, most_repeats: int = MOST_REPEATS) -> DataFrame:
+    """rank, quota: how many words the mix takes of each source with a target above 0, of as many as there are."""
+    words = F.sum("source_size").over(Window.partitionBy())
+    whole = goals.withColumns({"words": words, "share": F.col("target"), "house": F.lit(0)})
+    return _filled(whole, most_repeats).select("rank", "quota")
+
+
+def shard_quotas(goals: DataFrame, shards: int = SHARDS, most_repeats: int = MOST_REPEATS) -> DataFrame:
+    """rank, quota, ends: for each source the words it gives, and how many of them the shards up to each one take."""
+    total = F.sum("source_size").over(Window.partitionBy())
+    cut = goals.withColumn("total", total).withColumn("house", F.explode(F.sequence(F.lit(1), F.lit(shards))))
+    cut = cut.withColumn("words", F.expr("total * house div " + str(shards))).filter("words > 0")
+    houses = cut.withColumn("share", F.col("target") * F.col("words") / F.col("total"))
+    held = _filled(houses, most_repeats).groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("house", "quota"))).alias("held"))
+    # Houses that were too small to give this source a seat, or empty, end at 0.
+    ends = F.transform(
+        F.sequence(F.lit(1), F.lit(shards)),
+        lambda k: F.coalesce(F.get(F.filter("held", lambda x: x["house"] == k), F.lit(0))["quota"], F.lit(0)),
+    )
+    return held.select("rank", F.element_at("held", -1)["quota"].alias("quota"), ends.alias("ends"))
 
 
 def quotas(docs: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
@@ -142,9 +165,9 @@ def source_sizes(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, place, source, size, source_size, target, taken, copies for each row of `docs`.
+    """doc_id, place, source, size, source_size, target, taken, shards, copies for each row of `docs`.
 
-    `taken` is in words, `copies` in whole documents.
+    `taken` is in words, `shards` lists the shards that take any of them, `copies` is in whole documents.
 
     A null text has no words, a null source is a source (last in order), rows may repeat and ids may be
     null or tied: each row is a document of its own. Documents without words are taken 0 times. An empty
@@ -153,11 +176,12 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = stored(measured(docs), "mixing")
     n_buckets = buckets_for(rows.count())
     goals = targets(source_sizes(rows))
-    plan = goals.join(word_quotas(goals), "rank", "left").select(
+    plan = goals.join(shard_quotas(goals), "rank", "left").select(
         F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")).alias("key"),
         "source_size",
         "target",
         F.coalesce("quota", F.lit(0)).alias("quota"),
+        "ends",
     )
     keyed = rows.withColumn(
         "key", F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))
@@ -172,6 +196,14 @@ def mix(docs: DataFrame) -> DataFrame:
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("more") - F.col("start")))
     middle_in = F.col("start") + F.col("size") / 2 < F.col("more")
     copies = F.col("times") + middle_in.cast("int")
+    shard_of = lambda word: F.size(F.filter("ends", lambda end: end <= word))
+
+    def in_round(r):
+        first = r * F.col("source_size") + F.col("start")
+        last = first + F.when(r < F.col("times"), F.col("size")).otherwise(part) - 1
+        return F.when(last >= first, F.sequence(shard_of(first), shard_of(last))).otherwise(F.array().cast("array<int>"))
+
+    shards = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), F.col("times")), in_round)))
     return joined.select(
         "doc_id",
         "place",
@@ -180,6 +212,7 @@ def mix(docs: DataFrame) -> DataFrame:
         F.col("source_size").cast("long").alias("source_size"),
         F.col("target").cast("double").alias("target"),
         (F.col("size") * F.col("times") + part).cast("long").alias("taken"),
+        F.when((F.col("size") > 0) & F.col("ends").isNotNull(), shards).otherwise(F.array().cast("array<int>")).alias("shards"),
         F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("int").alias("copies"),
     )
 
@@ -187,11 +220,13 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, each as often as the mix takes it as a whole.
 
-    Documents without words are not in a mix of words. Rows that agree in id and text are one here, repeated
+    Documents without words are not in a mix of words. Rows that agree in id, text and source are one here, repeated
     as often as they are together.
     """
     times = F.sum("copies").cast("int")
-    taken = mix(docs).groupBy(id_text().alias("id"), "place").agg(times.alias("times"))
-    rows = docs.select(id_text().alias("id"), place().alias("place"), F.struct("*").alias("row"))
-    once = rows.dropDuplicates(["id", "place"]).join(taken.filter("times > 0"), ["id", "place"])
+    key = [id_text().alias("id"), F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")]
+    names = ["id", "none", "name", "place"]
+    taken = mix(docs).groupBy(*key, "place").agg(times.alias("times"))
+    rows = docs.select(*key, place().alias("place"), F.struct("*").alias("row"))
+    once = rows.dropDuplicates(names).join(taken.filter("times > 0"), names)
     return once.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -46,7 +46,7 @@ def fold(modulus: int):
 @query
 def op1_mix_sources(spark, sf_dir):
     found = mixing.mix(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "source", "size", "source_size", "target", "taken")
+    return found.select("doc_id", "source", "size", "source_size", "target", "taken", "shards")
 
 
 @query
@@ -138,7 +138,7 @@ WITH words AS (
 items AS (
     SELECT item_id,
         regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+    FROM benchmark WHERE text IS NOT NULL),
 windows AS (
     SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, array_to_string(w[i : i + 9], ' ') AS pattern, least(10, len(w)) AS n
     FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM items WHERE len(w) > 0)),
@@ -152,7 +152,7 @@ hits AS (
 hit_words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
 hit_items AS (
     SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+    FROM (SELECT DISTINCT r, item FROM hits WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
