@@ -202,3 +202,26 @@ def test_every_block_goes_where_the_highest_quotient_says(spark, folder):
         docs = spark.createDataFrame([*rows, (400, "x", "tiny"), (401, None, "none")], "doc_id long, text string, source string")
     found = mixing.mix(docs).collect()
     assert [(r.taken, sorted(r.shards)) for r in found] == mixed_by_hand(docs, found, mixing.SHARDS)
+
+
+@pytest.mark.parametrize("n_clean", [100_000, 1_000_000])
+def test_cuts_do_not_depend_on_how_many_rows_training_takes(n_clean):
+    rng = np.random.default_rng(9)
+    y = np.array([0] * n_clean + [1] * (n_clean // 25))
+    steps = np.where(y == 1, rng.normal(80, 60, len(y)), rng.normal(-80, 60, len(y))).round().astype(int)
+    trained = np.zeros(len(y), dtype=bool)
+    for t in (0, 1):
+        trained[rng.choice(np.flatnonzero(y == t), min(3200, int(0.8 * (y == t).sum())), replace=False)] = True
+
+    def common(rows, weights):
+        values, n = np.unique(np.stack([y[rows], steps[rows]]), axis=1, return_counts=True)
+        model = toxicity.Model(None, {}, {}, None, 0.0)
+        toxicity.cuts_from(model, [(None, int(t), int(s), int(k)) for (t, s), k in zip(values.T, n)], weights)
+        return model.bias
+
+    everything = common(np.ones(len(y), dtype=bool), (1.0, 1.0))
+    left = ~trained
+    weights = tuple((y == t).sum() / (left & (y == t)).sum() for t in (0, 1))
+    assert common(left, weights) == pytest.approx(everything, abs=0.2)
+    if n_clean == 100_000:  # 3,200 of 4,000 toxic rows are gone
+        assert common(left, (1.0, 1.0)) < everything - 0.3
