@@ -67,6 +67,9 @@ def test_rounding_agrees_with_the_checked_engine(spark, data):
     digits = st.text("0123456789", min_size=1, max_size=30)
     whole = st.integers(-(10**15), 10**15)
     texts = data.draw(st.lists(st.builds(lambda w, d: f"{w}.{d}", whole, digits), min_size=300, max_size=300))
+    exponents = st.builds(lambda t, e: f"{t}e{e}", st.sampled_from(texts), st.integers(-18, 3))
+    texts += data.draw(st.lists(exponents, min_size=300, max_size=300))
+    texts += ["4.99999999999999999999e-1", "1.4499999999999999999999999e1", "149e-2", "1499999e-6", "0.00005e4", "0.00015e4", ".5e1", "1.e1", ".e1", "e1", "1e", "-4.9e-1", "1e-400", "1e2.5"]
     texts += ["0.49999999999", "1234.49999999999", "-0.5", "0.5", "2.49999999999999999999999999999", "1e3", "1.5e0", "25e-1"]
     df = spark.createDataFrame([(t,) for t in texts], "t STRING")
     ours = [r[0] for r in df.selectExpr(f"{casts.to_long('t')} AS n").collect()]

@@ -56,7 +56,7 @@ def test_racing_parts_lose_nothing(spark, tmp_path, monkeypatch):
     def overtaken(events, path, *rest):
         monkeypatch.setattr(star, "write_events", write)
         star.append_part(typed(spark, request(2)), root, "b")
-        write(events, path, *rest)
+        return write(events, path, *rest)
 
     monkeypatch.setattr(star, "write_events", overtaken)
     with pytest.raises(CommitConflictError):

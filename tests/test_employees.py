@@ -40,11 +40,11 @@ def test_reasons(spark, tmp_path, end):
     )
     few, many, quotes = employees.TOO_FEW, employees.TOO_MANY, employees.QUOTES
     assert judged(spark, path) == [ANN, few, many, quotes, ANN, ("d@x", 'D "Di" D', None, "", "Chile"), quotes, quotes, ANN]
-    rejected = employees.rejected_employees(spark, path).orderBy("record").collect()
-    assert [(r.stage, r.reason, r.record) for r in rejected] == [
+    rejected = employees.rejected_employees(spark, path).orderBy("source_offset").collect()
+    assert [(r.stage, r.reason, r.source_offset) for r in rejected] == [
         ("employee", few, 2), ("employee", many, 3), ("employee", quotes, 4), ("employee", quotes, 7), ("employee", quotes, 8)
     ]
-    assert all(r.file.endswith("a.csv") for r in rejected)
+    assert all(r.source_file.endswith("a.csv") for r in rejected)
     assert [r.raw for r in rejected][2] == 'c@x,"Cy,P,L1,Peru'
 
 

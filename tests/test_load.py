@@ -171,3 +171,15 @@ def test_event_totals(spark):
     assert (row["event_count"], row["total_cost"]) == (3, 1.5)
     assert (str(row["first_day"]), str(row["last_day"])) == ("1970-01-01", "1970-01-02")
     assert len(rows_of(quality.event_counts_by_body(staged))) == 3
+
+
+def test_rejected_rows_name_where_they_came_from(spark, inputs):
+    logs_path, people, root = inputs
+    with open(people, "a") as file:
+        file.write("L1,short\n")
+    ingest.load_star(spark, logs_path, people, root)
+    found = {(r.stage, r.source_file.split("/")[-1], r.source_offset, r.log_stream) for r in star.read_rejected(spark, root).collect()}
+    assert found == {("batch", "logs.jsonl", 0, None), ("message", "logs.jsonl", 0, None), ("employee", "employees.csv", 2, None)}
+    # good rows carry none of it
+    events = star.read_events(spark, root)
+    assert events.filter("stage IS NULL AND (source_file IS NOT NULL OR log_stream IS NOT NULL)").isEmpty()

@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
@@ -255,3 +256,33 @@ def test_plain_parts_are_indexed_when_an_upsert_needs_it(spark, tmp_path):
     assert sorted(r.event_id for r in star.read_events(spark, root).collect()) == ["r1", "r2", "r3"]
     log = read_log(spark, root)
     assert sorted(log.parts(log.version, idindex.TABLE)) == sorted(log.parts(log.version))
+
+
+# Counts taken while writing
+
+
+def recounted(spark, root):
+    events = star.read_events(spark, root)
+    rows = events.agg(*[F.count_if(F.expr(c)).alias(name) for name, c in star.COUNTS.items()]).first().asDict()
+    return sorted((*name.split("."), n) for name, n in rows.items())
+
+
+def test_counts_of_the_writing_jobs_equal_a_recount(spark, tmp_path):
+    root = str(tmp_path / "star")
+    first, second = two_days()
+    star.append_part(typed(spark, *first, event({"body": "z"}, id="z"), event("junk", id="j")), root)
+    assert sorted(map(tuple, star.load_counts(spark, root).collect())) == recounted(spark, root)
+    upsert.incremental_upsert(typed(spark, *second, first[0], first[8]), root)
+    upsert.incremental_upsert(typed(spark, costly(3, "x", T0 + 50 * HOUR), tool(2, T0 + 50 * HOUR)), root)
+    assert sorted(map(tuple, star.load_counts(spark, root).collect())) == recounted(spark, root)
+    star.compact(spark, root)
+    found = sorted(map(tuple, star.load_counts(spark, root).collect()))
+    assert found == recounted(spark, root) and ("fact_api_requests", "rejected_rows", 0) not in found
+
+
+def test_counts_are_taken_in_the_stage_that_writes(spark):
+    """There a task's counts come from the run that finishes; before the shuffle a stage that runs again would add to them."""
+    seen = Observation()
+    observed = typed(spark, request(1)).hint("rebalance", "table").observe(seen, *star.counters())
+    plan = observed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("RebalancePartitions")

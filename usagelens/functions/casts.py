@@ -31,14 +31,21 @@ def to_double(text: str) -> str:
     return f"CASE WHEN {_is_plain_number(text)} AND {finite} THEN {number} END"
 
 
+#: Sign, digits before the point, digits after it, exponent.
+_EXPONENT_FORM = r"^\\s*([-+]?)([0-9]*)\\.?([0-9]*)[eE]([-+]?[0-9]+)\\s*$"
+
+
 def to_long(text: str, dtype: str = "BIGINT") -> str:
     """Integers, and decimal or exponent notation rounded half away from zero.
 
-    The first digit after the point decides. Plain decimals are cut there before they are converted, or
-    the conversion would round them once before the rounding that is meant.
+    The first digit after the point decides. Digits behind it are cut off before the text is converted, or the
+    conversion would round them once before the rounding that is meant; an exponent moves the point first.
     """
-    cut = rf"regexp_replace({text}, '(\\.[0-9])[0-9]+', '$1')"
-    exact = f"CASE WHEN {text} RLIKE '[eE]' THEN {text} ELSE {cut} END"
+    plain = rf"regexp_replace({text}, '(\\.[0-9])[0-9]+', '$1')"
+    part = lambda n: rf"regexp_extract({text}, '{_EXPONENT_FORM}', {n})"
+    digits = f"left({part(3)}, greatest(try_cast({part(4)} AS INT) + 1, 0))"
+    shifted = f"concat({part(1)}, '0', {part(2)}, '.', {digits}, 'e', {part(4)})"
+    exact = rf"CASE WHEN {text} RLIKE '[0-9]\\.?[eE]' THEN {shifted} ELSE {plain} END"
     rounded = f"round(try_cast({exact} AS DECIMAL(38, 18)), 0)"
     slow = f"CASE WHEN {_is_plain_number(text)} THEN try_cast({rounded} AS {dtype}) END"
     return f"coalesce(try_cast({text} AS {dtype}), {slow})"

@@ -138,8 +138,8 @@ def typed_events(parsed: DataFrame) -> DataFrame:
 
 
 def quarantined(rejected: DataFrame) -> DataFrame:
-    """Rejected rows (stage, reason, raw) that are no events, in the columns of typed events."""
-    given = {"stage": F.col("stage"), "reason": F.col("reason"), "raw": F.col("raw"), "table": F.lit(QUARANTINE_TABLE)}
+    """Rejected rows that are no events, in the columns of typed events: those they have, the others empty."""
+    given = {c: F.col(c) for c in rejected.columns} | {"table": F.lit(QUARANTINE_TABLE)}
     return rejected.select(
         *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TYPED_EVENT.fields]
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.functions.casts import blank_to_null, to_long
-from usagelens.schemas import ATTRIBUTE_KEYS, BATCH, EVENT, STAGING_COLUMNS, struct
+from usagelens.schemas import ATTRIBUTE_KEYS, BATCH, EVENT, ORIGIN, STAGING_COLUMNS, TYPED_EVENT, struct
 from usagelens.sources.logs import clean_lines
 
 # What follows every text; a text that holds it and ends the array itself could still pass.
@@ -46,10 +46,12 @@ def _is_single(parsed: str) -> str:
 
 def parse_batch(lines: DataFrame) -> DataFrame:
     """Decode each line into `batch`; undecodable lines get a reason instead."""
-    parsed = lines.selectExpr("value", _decode("value", BATCH))
+    origin = [c if c in lines.columns else f"CAST(NULL AS {TYPED_EVENT[c].dataType.simpleString()}) AS {c}" for c in ORIGIN]
+    parsed = lines.selectExpr("value", *origin, _decode("value", BATCH))
     ok = _is_single("__p")
     return parsed.selectExpr(
         "value",
+        *ORIGIN,
         f"CASE WHEN {ok} THEN get(__p, 0) END AS batch",
         f"""CASE WHEN NOT {ok} THEN 'malformed line'
             WHEN get(__p, 0).logEvents IS NULL AND contains(value, '"logEvents"')
@@ -63,11 +65,13 @@ def unnest_events(batches: DataFrame) -> DataFrame:
     slim = batches.selectExpr(
         "CASE WHEN batch_error IS NOT NULL THEN value END AS line",
         "batch_error",
+        *ORIGIN,
+        "batch.logStream AS log_stream",
         f"""CASE WHEN batch_error IS NOT NULL
             THEN array(CAST(NULL AS {EVENT.simpleString()}))
             ELSE batch.logEvents END AS events""",
     )
-    return slim.selectExpr("line", "batch_error", "explode(events) AS event")
+    return slim.selectExpr("line", "batch_error", *ORIGIN, "log_stream", "explode(events) AS event")
 
 
 def _message_schema(extra_attributes: tuple[str, ...]) -> T.StructType:
@@ -86,6 +90,8 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
     parsed = events.selectExpr(
         "line",
         "batch_error",
+        *ORIGIN,
+        "log_stream",
         "event",
         f"{blank_to_null('event.timestamp')} AS time_text",
         _decode(text, _message_schema(extra_attributes)),
@@ -93,6 +99,8 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
     ok = _is_single("__p")
     judged = parsed.selectExpr(
         "line",
+        *ORIGIN,
+        "log_stream",
         "event",
         "__p",
         f"{to_long('time_text')} AS epoch_ms",
@@ -111,6 +119,7 @@ def parse_message(events: DataFrame, extra_attributes: tuple[str, ...] = ()) ->
         "fault.stage AS stage",
         "fault.reason AS reason",
         f"CASE WHEN fault.stage = 'batch' THEN line WHEN fault IS NOT NULL THEN {text} END AS raw",
+        *[f"CASE WHEN fault IS NOT NULL THEN {c} END AS {c}" for c in (*ORIGIN, "log_stream")],
     )
 
 
@@ -142,6 +151,8 @@ def project_attributes(messages: DataFrame) -> DataFrame:
         "stage",
         "reason",
         "raw",
+        *ORIGIN,
+        "log_stream",
     )
 
 

@@ -43,6 +43,12 @@ def load_report(spark: SparkSession, root: str, version: str | None = None) -> D
     )
 
 
+def log_counts(spark: SparkSession, root: str, log=print) -> None:
+    """Print the counts a load is checked by, as they were taken while it was written."""
+    for row in star.load_counts(spark, root).collect():
+        log(f"[INGEST] {row.table_name}: {row.detail} {row.row_count}")
+
+
 def log_validation(loaded: Star, log=print) -> None:
     """Print the counts a load is checked by. Each is one aggregate; only single rows are fetched."""
     checks = {

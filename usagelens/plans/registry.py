@@ -7,6 +7,7 @@ asked of the event rows directly.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -805,6 +806,29 @@ on_star(
 )
 
 
+def _with_family_names(loaded: Star) -> Star:
+    names = {"model-0": "vendor-opus-4", "model-1": "vendor-sonnet-4-5", "model-2": "haiku-3"}
+    model = F.col("model")
+    named = F.coalesce(*[F.when(model == old, new) for old, new in names.items()], model)
+    return replace(loaded, fact_api_requests=loaded.fact_api_requests.withColumn("model", named))
+
+
+on_star(
+    "cost_by_named_model_family",
+    lambda s: findings.cost_by_model_family(_with_family_names(s)),
+    over(
+        f"""SELECT family, request_count, total_cost,
+        round(CAST(request_count AS DOUBLE) * 100.0 / sum(request_count) OVER (), 1)
+            AS request_share_pct,
+        round(total_cost * 100.0 / sum(total_cost) OVER (), 1) AS cost_share_pct,
+        round(total_cost / request_count, 4) AS cost_per_request
+        FROM (SELECT CASE model WHEN 'model-0' THEN 'opus' WHEN 'model-1' THEN 'sonnet' WHEN 'model-2' THEN 'haiku' END
+                AS family, count(*) AS request_count, {COST.format('')} AS total_cost
+            FROM fact_api_requests GROUP BY 1)"""
+    ),
+)
+
+
 def _errors_by(slot: str, name: str) -> str:
     return over(
         f"""SELECT {name}, coalesce(error_count, 0) AS error_count,
@@ -938,6 +962,55 @@ def _(spark, sf):
     )
 
 
+@query(
+    "rejected_origins",
+    f"""SELECT 'message' AS stage, 'collector' AS log_stream, count(*) FILTER (WHERE {BROKEN}) AS row_count,
+        count(*) FILTER (WHERE {BROKEN}) AS rows_with_file FROM events
+    UNION ALL SELECT 'batch', NULL, count(*) FILTER (WHERE {JUNK}), count(*) FILTER (WHERE {JUNK}) FROM events""",
+)
+def _(spark, sf):
+    # by a stream into days, and each file the quarantine names is one of those delivered
+    root = scratch_path(spark, "origins")
+    files = spark.read.text(sample_data.raw_files(spark, sf)).select("_metadata.file_path").distinct()
+    lines = stream.stream_lines(spark, sample_data.raw_files(spark, sf), origin=True)
+    stream.stream_ingest(lines, f"{root}/star", f"{root}/checkpoint").awaitTermination()
+    rejected = star.read_rejected(spark, f"{root}/star")
+    known = rejected.join(files, F.col("source_file") == F.col("file_path"), "left")
+    return known.groupBy("stage", "log_stream").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("file_path").alias("rows_with_file")
+    )
+
+
+_COUNTED = {
+    "fact_api_requests": {"total_rows": "true", "rejected_rows": "cost_usd IS NULL OR duration_ms IS NULL OR input_tokens IS NULL OR output_tokens IS NULL"},
+    "fact_tool_usage": {"total_rows": "true", "decision_rows": "decision <> ''", "result_rows": "is_success IS NOT NULL"},
+    "fact_api_errors": {"total_rows": "true", "null_status_rows": "status_code IS NULL"},
+    "fact_user_prompts": {"total_rows": "true", "null_length_rows": "prompt_length IS NULL"},
+}
+
+
+@query(
+    "load_counts",
+    over(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{d}' AS detail, count(*) FILTER (WHERE {c}) AS row_count FROM {t}"
+            for t, details in _COUNTED.items()
+            for d, c in details.items()
+        )
+        + f""" UNION ALL SELECT 'quarantine', 'message', count(*) FILTER (WHERE {BROKEN}) FROM all_stg
+            UNION ALL SELECT 'quarantine', 'batch', count(*) FILTER (WHERE {JUNK}) FROM all_stg
+            UNION ALL SELECT 'quarantine', 'timestamp', 0 UNION ALL SELECT 'quarantine', 'employee', 0
+            UNION ALL SELECT 'unknown_body', 'total_rows', 0""",
+        where=f"NOT {BROKEN}",
+    ),
+)
+def _(spark, sf):
+    # counted in the jobs that wrote the parts: a load of the even events, an upsert of all, a repeated delta
+    root = _two_parts(spark, sf)
+    upsert.incremental_upsert(_even(spark, sf), root, star.BY_TABLE)
+    return star.load_counts(spark, root)
+
+
 _MOVED = 36 * 3600 * 1000
 
 

@@ -71,7 +71,9 @@ def struct(**columns: str | T.DataType) -> T.StructType:
 # Timestamps are read as text so that one bad value costs one event, not its whole batch.
 EVENT = struct(id="string", timestamp="string", message="string")
 # The rest of a batch (owner, log group, date parts, ...) is not read.
-BATCH = struct(logEvents=T.ArrayType(EVENT))
+BATCH = struct(logEvents=T.ArrayType(EVENT), logStream="string")
+# Where a line was read: its file, and where the piece of the file begins that a task read.
+ORIGIN = ["source_file", "source_offset"]
 
 CONTRACT = {
     "dim_employees": struct(
@@ -125,6 +127,10 @@ TYPED_EVENT = struct(
     stage="string",
     reason="string",
     raw="string",
+    # of rejected rows only
+    source_file="string",
+    source_offset="bigint",
+    log_stream="string",
     table="string",
     event_date="date",
 )

@@ -32,6 +32,8 @@ class Entry:
     table: str
     part: str
     folder: str
+    #: What was counted while the folder was written: JSON of name to number, or nothing.
+    counts: str = ""
 
 
 @dataclass(frozen=True)

@@ -81,9 +81,10 @@ def read_employees(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rejected_employees(spark: SparkSession, path: str) -> DataFrame:
-    """The bad records as the quarantine has them, with the file and the number of the record in it."""
+    """The bad records as the quarantine has them, with their file and their number in it (`source_offset`)."""
     bad = read_records(spark, path).filter("reason IS NOT NULL")
-    return bad.select(F.lit(STAGE).alias("stage"), "reason", "raw", "file", "record")
+    where = F.col("file").alias("source_file"), F.col("record").cast("long").alias("source_offset")
+    return bad.select(F.lit(STAGE).alias("stage"), "reason", "raw", *where)
 
 
 def with_header(lines: DataFrame, header: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions.casts import to_timestamp
-from usagelens.schemas import MissingSourceError
+from usagelens.schemas import ORIGIN, MissingSourceError
 
 ENVELOPE = {
     "messageType": "DATA_MESSAGE",
@@ -30,12 +30,18 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     stripping: it means nothing in JSON.
     """
     blank = r"value = '' OR (left(value, 1) RLIKE '\\s' AND value RLIKE '^\\s*$')"
-    return lines.selectExpr("value").filter(f"NOT ({blank})")
+    return lines.select("value", *[c for c in ORIGIN if c in lines.columns]).filter(f"NOT ({blank})")
+
+
+def with_origin(lines: DataFrame) -> DataFrame:
+    """Lines of a file source with where each was read; rejected rows keep it."""
+    file, offset = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return lines.select("value", file.alias(ORIGIN[0]), offset.alias(ORIGIN[1]))
 
 
 def read_log_batches(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return clean_lines(spark.read.text(path))
+        return clean_lines(with_origin(spark.read.text(path)))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise MissingSourceError(f"log batches not found: {path}") from e

@@ -117,17 +117,22 @@ def read_folders(spark: SparkSession, root: str, entries: list[Entry], schema: T
     return out
 
 
+def replaced_events(spark: SparkSession, root: str, log: Log, version: str, removals: list[Entry]) -> DataFrame | None:
+    """The good events that some `removed` folders name, from the parts they are in; None if there are none."""
+    if not removals:
+        return None
+    gone = read_folders(spark, root, removals, REMOVED).select(F.col("event_id").alias("__id"), F.col("old_part").alias("__part"))
+    parts = {r[0] for r in gone.select("__part").distinct().collect()}  # names of parts
+    old = read_folders(spark, root, [e for e in log.of(version, "events") if e.part in parts], TYPED_EVENT)
+    same = (F.col("event_id") == F.col("__id")) & (F.col("part") == F.col("__part"))
+    return old.filter("stage IS NULL").join(hint_if_small(gone), same, "left_semi").drop("part")
+
+
 def side_rows(spark: SparkSession, root: str, log: Log, side: SideTable, events: Entry, removals: list[Entry]) -> DataFrame:
     """The side rows of one part: of its events, less those of the events in other parts that it replaces."""
     rows = side.build(read_folders(spark, root, [events], TYPED_EVENT), 1)
-    gone = read_folders(spark, root, removals, REMOVED).select(F.col("event_id").alias("__id"), F.col("old_part").alias("__part"))
-    parts = {r[0] for r in gone.select("__part").distinct().collect()} if removals else set()  # names of parts
-    if not parts:
-        return rows
-    old = read_folders(spark, root, [e for e in log.of(events.version, "events") if e.part in parts], TYPED_EVENT)
-    same = (F.col("event_id") == F.col("__id")) & (F.col("part") == F.col("__part"))
-    replaced = old.filter("stage IS NULL").join(hint_if_small(gone), same, "left_semi").drop("part")
-    return rows.unionByName(side.build(replaced, -1))
+    replaced = replaced_events(spark, root, log, events.version, removals)
+    return rows if replaced is None else rows.unionByName(side.build(replaced, -1))
 
 
 def write_side(rows: DataFrame, side: SideTable, root: str, version: str, part: str) -> Entry:

@@ -13,15 +13,17 @@ new version; a stream or upsert adds a part to the newest. Of two writers at onc
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions.joins import hint_if_small
 from usagelens.schemas import (
     CONTRACT,
     FACT_TABLES,
+    ORIGIN,
     QUARANTINE_TABLE,
     TYPED_EVENT,
     UNKNOWN_TABLE,
@@ -36,20 +38,40 @@ DAILY = ("table", "event_date")
 BY_TABLE = ("table",)
 
 
+_REJECTED = "cost_usd IS NULL OR duration_ms IS NULL OR input_tokens IS NULL OR output_tokens IS NULL"
+#: What is counted of events while they are written, as `<table>.<detail>`: the checks of a load. Stages are fixed.
+COUNTS = {
+    **{f"{t}.total_rows": f"table = '{t}'" for t in (*FACT_TABLES, UNKNOWN_TABLE)},
+    "fact_api_requests.rejected_rows": f"table = 'fact_api_requests' AND ({_REJECTED})",
+    "fact_tool_usage.decision_rows": "table = 'fact_tool_usage' AND decision <> ''",
+    "fact_tool_usage.result_rows": "table = 'fact_tool_usage' AND is_success IS NOT NULL",
+    "fact_api_errors.null_status_rows": "table = 'fact_api_errors' AND status_code IS NULL",
+    "fact_user_prompts.null_length_rows": "table = 'fact_user_prompts' AND prompt_length IS NULL",
+    **{f"{QUARANTINE_TABLE}.{s}": f"table = '{QUARANTINE_TABLE}' AND stage = '{s}'" for s in ("batch", "message", "timestamp", "employee")},
+}
+
+
+def counters() -> list[Column]:
+    return [F.count_if(F.expr(condition)).alias(name) for name, condition in COUNTS.items()]
+
+
 def events_path(root: str, version: str) -> str:
     return f"{root}/versions/{version}/events"
 
 
 def write_events(
     events: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = DAILY
-) -> None:
-    """Write typed events into one directory per table (and day).
+) -> dict[str, int]:
+    """Write typed events into one directory per table (and day); returns the COUNTS of them.
 
     The rebalance hint lets adaptive execution cut large partitions and join small ones, so a hot
-    day or table is spread over tasks and files come out at a sensible size.
+    day or table is spread over tasks and files come out at a sensible size. The counts are observed in the tasks
+    that write, after that shuffle: of a task that runs again only the run that finishes counts.
     """
-    balanced = events.hint("rebalance", *partition_by)
+    seen = Observation()
+    balanced = events.hint("rebalance", *partition_by).observe(seen, *counters())
     balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    return {name: int(n or 0) for name, n in seen.get.items()}
 
 
 def _part_path(root: str, version: str, part: str) -> str:
@@ -69,8 +91,7 @@ def write_star(
     log = read_log(spark, root)
     version = _new_version(log)
     dim.write.mode("overwrite").parquet(f"{root}/versions/{version}/dim_employees")
-    write_events(events, _part_path(root, version, "load"), "overwrite", partition_by)
-    commit(spark, root, log, [Entry(version, "events", "load", events_folder("load"))])
+    commit(spark, root, log, [write_part(events, root, version, "load", partition_by)])
     return version
 
 
@@ -116,8 +137,23 @@ def write_part(
     events: DataFrame, root: str, version: str, part: str, partition_by: tuple[str, ...] = DAILY
 ) -> Entry:
     """Write a part's events; they count once the returned entry is committed."""
-    write_events(events, _part_path(root, version, part), "overwrite", partition_by)
-    return Entry(version, "events", part, events_folder(part))
+    counts = write_events(events, _part_path(root, version, part), "overwrite", partition_by)
+    return Entry(version, "events", part, events_folder(part), json.dumps(counts))
+
+
+def load_counts(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """(table_name, detail, row_count) as counted while the parts were written; no event is read.
+
+    What upserts replaced is taken off. Zero rows are listed.
+    """
+    log = read_log(spark, root)
+    version = version or current_version(spark, root, log)
+    total = dict.fromkeys(COUNTS, 0)
+    for entry in (*log.of(version, "events"), *log.of(version, "removed")):
+        for name, n in json.loads(entry.counts or "{}").items():
+            total[name] += n
+    rows = [(*name.split("."), n) for name, n in total.items()]
+    return spark.createDataFrame(rows, "table_name string, detail string, row_count long")
 
 
 def compact(spark: SparkSession, root: str, partition_by: tuple[str, ...] = DAILY) -> str:
@@ -203,6 +239,12 @@ def read_quarantine(spark: SparkSession, root: str, version: str | None = None)
     return rejected.select("stage", "reason", "raw", "event_id")
 
 
+def read_rejected(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """The quarantine with where each row came from: file, offset of the piece of it that was read, log stream."""
+    rejected = read_events(spark, root, version).filter(F.col("table") == QUARANTINE_TABLE)
+    return rejected.select("stage", "reason", "raw", "event_id", *ORIGIN, "log_stream")
+
+
 def read_unknown(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
     events = read_events(spark, root, version)
     return events.filter(F.col("table") == UNKNOWN_TABLE).select("body", "event_id", "epoch_ms")

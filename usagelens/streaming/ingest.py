@@ -10,16 +10,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.functions.casts import to_instant
 from usagelens.operators import facts, parse
+from usagelens.sources.logs import with_origin
 from usagelens.sources.sidetables import SideTable
 from usagelens.sources.star import DAILY, append_part
 
 
-def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Log batch lines from files arriving in a folder; any source with a `value` column will do."""
+def stream_lines(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, origin: bool = False
+) -> DataFrame:
+    """Log batch lines from files arriving in a folder; any source with a `value` column will do.
+
+    With `origin` rejected rows keep the file they came from.
+    """
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    return with_origin(reader.load(path)) if origin else reader.load(path)
 
 
 def stream_events(lines: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ from usagelens.session import scratch_path
 from usagelens.sources import idindex
 from usagelens.sources.commits import Entry, Log, commit, remove_path
 from usagelens.sources.idindex import is_bad
-from usagelens.sources.sidetables import REMOVED, SideTable, brought_up, read_folders, side_rows, write_side
-from usagelens.sources.star import DAILY, is_known, started, write_part
+from usagelens.sources.sidetables import REMOVED, SideTable, brought_up, read_folders, replaced_events, side_rows, write_side
+from usagelens.sources.star import DAILY, counters, is_known, started, write_part
 from usagelens.streaming.ingest import part_name
 
 
@@ -93,6 +95,9 @@ def incremental_upsert(
         removed.coalesce(1).write.parquet(f"{root}/versions/{version}/removed/{part}/part={part}")
         removal = Entry(version, "removed", part, f"removed/{part}/part={part}")
         removals = [] if read_folders(spark, root, [removal], REMOVED).isEmpty() else [removal]
+        if (old := replaced_events(spark, root, log, version, removals)) is not None:
+            counted = old.agg(*counters()).first().asDict()
+            removals = [replace(removal, counts=json.dumps({name: -n for name, n in counted.items()}))]
         for side in sides:
             made.append(write_side(side_rows(spark, root, log, side, made[0], removals), side, root, version, part))
         commit(spark, root, log, [*made, *removals])
