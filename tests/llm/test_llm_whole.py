@@ -5,8 +5,9 @@ import heapq
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from usagelens.llm import decontaminate, mixing, pii, toxicity
-from usagelens.llm.common import buckets_for
+from usagelens.llm.common import buckets_for, stored_paths
 
 
 def spans_of(spark, docs):
@@ -225,3 +226,11 @@ def test_cuts_do_not_depend_on_how_many_rows_training_takes(n_clean):
     assert common(left, weights) == pytest.approx(everything, abs=0.2)
     if n_clean == 100_000:  # 3,200 of 4,000 toxic rows are gone
         assert common(left, (1.0, 1.0)) < everything - 0.3
+
+
+def test_the_pipeline_leaves_one_table(spark):
+    before = set(stored_paths())
+    docs = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert docs.count() > 0
+    (left,) = set(stored_paths()) - before
+    assert "stage-sharding" in left

@@ -7,10 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from usagelens.session import scratch_path
+from usagelens.sources.commits import remove_path
 
 # Rows that one task sorts at a time where running totals are taken bucket by bucket.
 BUCKET_ROWS = 1024
@@ -22,13 +23,29 @@ class LlmError(ValueError):
     """An input or a setting that an operator of this package can't work with."""
 
 
+_stored: list[str] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written to the shared folder and read again: computed once, lineage cut."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _stored.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def stored_paths() -> list[str]:
+    """The tables that this process has stored and not removed, in order."""
+    return list(_stored)
+
+
+def remove_stored(spark: SparkSession, paths: list[str]) -> None:
+    """Remove stored tables; frames that still read them fail from then on."""
+    for path in paths:
+        remove_path(spark, path)
+        _stored.remove(path)
+
+
 def with_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; a typed error where one is missing."""
     if missing := [x for x in names if x not in df.columns]:
