@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelens.llm import decontaminate, mixing, ngram_join, sharding, toxicity
-from usagelens.llm.common import stored
+from usagelens.llm.common import remove_stored, stored, stored_paths
 from usagelens.llm.queries import table, toxicity_model
 
 
@@ -50,7 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage stores on its way, and the table it read, is removed once its rows are stored."""
+    docs, before = table(spark, sf_dir, "documents"), set(stored_paths())
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        remove_stored(spark, [p for p in stored_paths()[:-1] if p not in before])
     return docs

@@ -181,6 +181,17 @@ def test_a_new_part_does_not_read_the_old_ones(spark, tmp_path):
     assert sum(r[1] for r in after) == sum(r[1] for r in before) + 5
 
 
+def test_side_rows_of_many_parts_are_one_table(spark, tmp_path):
+    root = str(tmp_path / "star")
+    for i in range(4):
+        star.append_part(typed(spark, costly(i, 1)), root, f"p{i}", sides=(COST_MOMENTS,))
+    log = sidetables.brought_up(spark, root, COST_MOMENTS, *ROLLUPS)
+    for side in (COST_MOMENTS, *ROLLUPS):
+        plan = sidetables.read_side(spark, root, log, side)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") <= 2
+    assert statistics(sidetables.read_side(spark, root, log, COST_MOMENTS)).first().n == 4
+
+
 def test_sides_made_late_know_what_was_replaced(spark, tmp_path):
     root = str(tmp_path / "star")
     upsert.incremental_upsert(typed(spark, costly(1, 5), costly(2, 6)), root)

@@ -582,6 +582,19 @@ on_star(
         FROM fact_tool_usage WHERE duration_ms > 0 GROUP BY tool_name"""
     ),
 )
+_FINE = "duration_ms * 1000000 + epoch_ms % 999983"
+on_star(
+    "high_latency_tools_fine",
+    lambda s: metrics.high_latency_tools(
+        replace(s, fact_tool_usage=s.fact_tool_usage.withColumn("duration_ms", F.expr(_FINE))), by_steps=True
+    ),
+    over(
+        f"""SELECT tool_name, count(*) AS call_count, round(avg(duration_ms), 0) AS avg_ms,
+        round({_pct(0.5)}, 0) AS p50_ms, round({_pct(0.95)}, 0) AS p95_ms,
+        round({_pct(0.99)}, 0) AS p99_ms, max(duration_ms) AS max_ms
+        FROM (SELECT tool_name, {_FINE} AS duration_ms FROM fact_tool_usage) WHERE duration_ms > 0 GROUP BY tool_name"""
+    ),
+)
 on_star(
     "api_request_latency_by_model",
     metrics.api_request_latency_by_model,

@@ -1,6 +1,6 @@
 """The ids of a star's events, beside its parts: which part holds an id, and at which time.
 
-    <root>/versions/<v>/ids/<name>-<buckets>/part=<p>/bucket=<b>/
+    <root>/versions/<v>/ids/<folder>-<buckets>/part=<p>/bucket=<b>/
 
 A part's ids lie in buckets by hash, sorted, with a Bloom filter on the id. A lookup reads the buckets its ids fall
 into; few ids are also pushed into the scan, where the filters and the order leave out most row groups. No event is
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from usagelens.functions.joins import hint_if_small
 from usagelens.schemas import TYPED_EVENT, struct
 from usagelens.sources.commits import Entry, Log, commit
-from usagelens.sources.sidetables import read_folders
+from usagelens.sources.sidetables import WITH_PART, read_folders
 
 IDS = struct(event_id="string", epoch_ms="bigint", is_good="boolean", bucket="int")
 TABLE = "ids"
@@ -35,16 +35,17 @@ def bucket_of(n_buckets: int) -> Column:
     return F.pmod(F.xxhash64("event_id"), F.lit(n_buckets)).cast("int")
 
 
-def write_ids(events: DataFrame, root: str, version: str, part: str) -> Entry:
+def write_ids(events: DataFrame, root: str, version: str, part: str, within: str = WITH_PART) -> Entry:
     """Index the events of one part, as written; the index counts once the entry is committed."""
     rows, n = events.count(), 1
     while n < MAX_BUCKETS and n * BUCKET_ROWS < rows:
         n *= 2
-    folder = f"{TABLE}/{uuid.uuid4().hex}-{n}/part={part}"
+    folder = f"{TABLE}/{within}-{n}/part={part}"
     ids = events.filter("event_id IS NOT NULL").select("event_id", "epoch_ms", (~is_bad()).alias("is_good")).distinct()
     placed = ids.withColumn("bucket", bucket_of(n)).repartition(n, "bucket").sortWithinPartitions("bucket", "event_id")
     (
-        placed.write.option("parquet.bloom.filter.enabled#event_id", "true")
+        placed.write.mode("overwrite")
+        .option("parquet.bloom.filter.enabled#event_id", "true")
         .option("parquet.bloom.filter.expected.ndv#event_id", str(max(1024, min(BUCKET_ROWS, rows))))
         .partitionBy("bucket")
         .parquet(f"{root}/versions/{version}/{folder}")
@@ -56,7 +57,8 @@ def brought_up(spark: SparkSession, root: str, log: Log) -> Log:
     """Index the parts that are not yet, such as those of plain loads and streams; returns the log that has them."""
     have = set(log.parts(log.version, TABLE))
     missing = [e for e in log.of(log.version, "events") if e.part not in have]
-    made = [write_ids(read_folders(spark, root, [e], TYPED_EVENT), root, e.version, e.part) for e in missing]
+    within = uuid.uuid4().hex
+    made = [write_ids(read_folders(spark, root, [e], TYPED_EVENT), root, e.version, e.part, within) for e in missing]
     return commit(spark, root, log, made) if made else log
 
 

@@ -135,11 +135,19 @@ def side_rows(spark: SparkSession, root: str, log: Log, side: SideTable, events:
     return rows if replaced is None else rows.unionByName(side.build(replaced, -1))
 
 
-def write_side(rows: DataFrame, side: SideTable, root: str, version: str, part: str) -> Entry:
-    """Write the side rows of one part; they count once the returned entry is committed."""
-    folder = f"{side.name}/{uuid.uuid4().hex}/part={part}"
+#: Folder of the side rows that are written together with their part.
+WITH_PART = "parts"
+
+
+def write_side(rows: DataFrame, side: SideTable, root: str, version: str, part: str, within: str = WITH_PART) -> Entry:
+    """Write the side rows of one part; they count once the returned entry is committed.
+
+    The folders of many parts lie in one, so that they are read as one table. What a writer that failed left under
+    the name of this part is overwritten.
+    """
+    folder = f"{side.name}/{within}/part={part}"
     typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in side.schema.fields])
-    typed.write.parquet(f"{root}/versions/{version}/{folder}")
+    typed.write.mode("overwrite").parquet(f"{root}/versions/{version}/{folder}")
     return Entry(version, side.name, part, folder)
 
 
@@ -154,7 +162,7 @@ def brought_up(spark: SparkSession, root: str, *sides: SideTable, log: Log | Non
     Each part's events are read once for each table, in one job over the columns it needs.
     """
     log = log or read_log(spark, root)
-    version = log.version
+    version, within = log.version, uuid.uuid4().hex  # two that do this at once do not write into each other's
     made = []
     for side in sides:
         have = set(log.parts(version, side.name))
@@ -162,5 +170,5 @@ def brought_up(spark: SparkSession, root: str, *sides: SideTable, log: Log | Non
             if entry.part not in have:
                 removals = [e for e in log.of(version, "removed") if e.part == entry.part]
                 rows = side_rows(spark, root, log, side, entry, removals)
-                made.append(write_side(rows, side, root, version, entry.part))
+                made.append(write_side(rows, side, root, version, entry.part, within))
     return commit(spark, root, log, made) if made else log

@@ -4,7 +4,7 @@
     <root>/versions/<v>/dim_employees/
     <root>/versions/<v>/events/part=<p>/table=<t>/event_date=<d>/    (or without the day level)
     <root>/versions/<v>/removed/part=<p>/    events of other parts that part p replaces
-    <root>/versions/<v>/<side table>/<id>/part=<p>/    what is kept of each part (sidetables.py)
+    <root>/versions/<v>/<side table>/<folder>/part=<p>/    what is kept of each part (sidetables.py)
 
 Loads, streams and upserts all write parts: a part is one directory tree with all event tables, written by
 one job. It becomes visible with its commit, written last, so readers never see half of one. A load starts a

@@ -92,8 +92,8 @@ def incremental_upsert(
         # One row for each replaced event.
         replaced = judged.filter(~is_bad() & F.col("any_good") & ~F.col("same_time"))
         removed = replaced.select("event_id", F.explode("good_parts").alias("old_part"))
-        removed.coalesce(1).write.parquet(f"{root}/versions/{version}/removed/{part}/part={part}")
-        removal = Entry(version, "removed", part, f"removed/{part}/part={part}")
+        removal = Entry(version, "removed", part, f"removed/part={part}")
+        removed.write.mode("overwrite").parquet(f"{root}/versions/{version}/{removal.folder}")
         removals = [] if read_folders(spark, root, [removal], REMOVED).isEmpty() else [removal]
         if (old := replaced_events(spark, root, log, version, removals)) is not None:
             counted = old.agg(*counters()).first().asDict()
