@@ -216,8 +216,8 @@ def test_cuts_do_not_depend_on_how_many_rows_training_takes(n_clean):
 
     def common(rows, weights):
         values, n = np.unique(np.stack([y[rows], steps[rows]]), axis=1, return_counts=True)
-        model = toxicity.Model(None, {}, {}, None, 0.0)
-        toxicity.cuts_from(model, [(None, int(t), int(s), int(k)) for (t, s), k in zip(values.T, n)], weights)
+        model = toxicity.Model(None, {}, {}, None, 0.0, left_out=weights)
+        toxicity.cuts_from(model, [(None, int(t), int(s), int(k)) for (t, s), k in zip(values.T, n)])
         return model.bias
 
     everything = common(np.ones(len(y), dtype=bool), (1.0, 1.0))

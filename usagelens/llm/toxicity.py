@@ -108,6 +108,8 @@ class Model:
     bias: float
     scale: float = 1.0
     thresholds: dict[str, float] = field(default_factory=dict)
+    #: Rows of each label (clean, toxic) among all labelled ones, for each row that training left out.
+    left_out: tuple[float, float] = (1.0, 1.0)
 
     def values(self, rows: np.ndarray) -> np.ndarray:
         """What a word adds to each filter at each place in it."""
@@ -274,17 +276,17 @@ def best_step(steps: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
     return float((steps[at] + low) / 2 * STEP)
 
 
-def cuts_from(model: Model, counts: list[tuple[str | None, int, int, int]], weights: tuple[float, float] = (1.0, 1.0)) -> None:
+def cuts_from(model: Model, counts: list[tuple[str | None, int, int, int]]) -> None:
     """As `calibrate`, from (lang, toxic, step, rows) over rows that training left out.
 
-    Training takes as many rows of either label, so the rarer label is rarer still among those left; `weights` (clean,
-    toxic) give each label the weight it has among all rows. Without both labels, the model stays as it is.
+    Training takes as many rows of either label, so the rarer label is rarer still among those left; the model's
+    `left_out` gives each label the weight it has among all rows. Without both labels, the model stays as it is.
     """
     def cut(rows: list[tuple[str | None, int, int, int]], least: int) -> float | None:
         steps, at = np.unique([r[2] for r in rows], return_inverse=True)
         of = np.zeros((2, len(steps)))
         np.add.at(of, ([r[1] for r in rows], at), [r[3] for r in rows])
-        return best_step(steps, *(of * np.array(weights)[:, None])) if min(of.sum(axis=1)) >= least else None
+        return best_step(steps, *(of * np.array(model.left_out)[:, None])) if min(of.sum(axis=1)) >= least else None
 
     if not counts or (common := cut(counts, 1)) is None:
         return
@@ -353,7 +355,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         counts = logit_counts(known.join(F.broadcast(used), "doc_id", "left_anti"), model)
         total = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
         left = [sum(r[3] for r in counts if r[1] == t) for t in (0, 1)]
-        cuts_from(model, counts, tuple(total.get(t, 0) / max(1, left[t]) for t in (0, 1)))
+        model.left_out = tuple(total.get(t, 0) / max(1, left[t]) for t in (0, 1))
+        cuts_from(model, counts)
     return model
 
 
