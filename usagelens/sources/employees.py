@@ -61,7 +61,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     text = F.regexp_replace("value", "^\ufeff", "")
     records = F.filter(F.regexp_extract_all(text, F.lit(_RECORD_OR_LINE), F.lit(1)), lambda x: x != "")
     split = files.select(F.col("_metadata.file_path").alias("file"), records.alias("records"))
-    headed = split.select("file", _fields(F.get("records", F.lit(0))).alias("header"), F.posexplode("records").alias("record", "raw"))
+    # The header is taken before the explode: after it, every record would carry all records of its file.
+    headed = split.withColumn("header", _fields(F.get("records", F.lit(0))))
+    headed = headed.select("file", "header", F.posexplode("records").alias("record", "raw"))
     rows = headed.filter("record > 0").withColumn("fields", _fields(F.col("raw")))
     n, wanted = F.size("fields"), F.size("header")
     lacking = ~F.forall(F.array(*map(F.lit, COLUMNS)), lambda c: F.array_contains("header", c))
