@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from usagelens.operators import facts, parse, quality
 from usagelens.schemas import FACT_TABLES, QUARANTINE_TABLE, UNKNOWN_TABLE, Star
-from usagelens.session import configure
+from usagelens.session import configure, scratch_path
 from usagelens.sources import employees, logs, star
+from usagelens.sources.commits import remove_path
 
 
 def load_star(
@@ -23,10 +24,16 @@ def load_star(
     Malformed log rows and malformed employee records go to the same quarantine, with stage and reason.
     """
     configure(spark)
-    dim = quality.require_unique_dim(employees.read_employees(spark, employees_path))
-    parsed = parse.parse_lines(logs.read_log_batches(spark, logs_path))
-    rejected = facts.quarantined(employees.rejected_employees(spark, employees_path))
-    return star.write_star(dim, facts.typed_events(parsed).unionByName(rejected), root, partition_by)
+    staged = scratch_path(spark, "employee-records")
+    employees.read_records(spark, employees_path).write.parquet(staged)  # parsed once, read for both of its kinds
+    try:
+        records = spark.read.parquet(staged)
+        dim = quality.require_unique_dim(employees.good(records))
+        parsed = parse.parse_lines(logs.read_log_batches(spark, logs_path))
+        rejected = facts.quarantined(employees.rejected(records))
+        return star.write_star(dim, facts.typed_events(parsed).unionByName(rejected), root, partition_by)
+    finally:
+        remove_path(spark, staged)
 
 
 def load_report(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:

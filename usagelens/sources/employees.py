@@ -79,12 +79,20 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def read_employees(spark: SparkSession, path: str) -> DataFrame:
     """The good records, all columns as text."""
-    return read_records(spark, path).filter("reason IS NULL").select(*COLUMNS)
+    return good(read_records(spark, path))
+
+
+def good(records: DataFrame) -> DataFrame:
+    return records.filter("reason IS NULL").select(*COLUMNS)
 
 
 def rejected_employees(spark: SparkSession, path: str) -> DataFrame:
     """The bad records as the quarantine has them, with their file and their number in it (`source_offset`)."""
-    bad = read_records(spark, path).filter("reason IS NOT NULL")
+    return rejected(read_records(spark, path))
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    bad = records.filter("reason IS NOT NULL")
     where = F.col("file").alias("source_file"), F.col("record").cast("long").alias("source_offset")
     return bad.select(F.lit(STAGE).alias("stage"), "reason", "raw", *where)
 
