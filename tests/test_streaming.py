@@ -216,3 +216,19 @@ def test_a_stream_without_repeats_fills_the_star_like_one_load(spark, tmp_path):
     assert same(star.read_events(spark, root), once)
     # ids of days that have passed are forgotten
     assert max(states) <= 10
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_only_rows_of_repeated_ids_are_sorted_out(spark, tmp_path, monkeypatch, most):
+    no_id = [{**request(8), "id": None}, {**request(8), "id": None}]
+    delta = typed(spark, request(1), request(2), broken(2), request(2, T0 + HOUR), broken(3), request(4), *no_id)
+    expected, given = upsert.one_per_id(delta), []
+    one_per_id = upsert.one_per_id
+    monkeypatch.setattr(upsert, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(upsert, "one_per_id", lambda rows: given.append(rows.count()) or one_per_id(rows))
+    once, ids = upsert.staged_once(delta, str(tmp_path / "staged"))
+    assert same(once, expected)
+    assert sorted(map(tuple, ids.collect())) == [("r1", 1), ("r2", 3), ("r3", 1), ("r4", 1)]
+    assert given == [3 if most else 8]
+    once, _ = upsert.staged_once(typed(spark, request(1), request(2), *no_id), str(tmp_path / "none"))
+    assert once.count() == 4 and len(given) == 1

@@ -69,9 +69,10 @@ def _buckets(entry: Entry) -> int:
 def looked_up(spark: SparkSession, root: str, log: Log, wanted: DataFrame) -> DataFrame:
     """(event_id, part, epoch_ms, is_good) of the indexed events with an id of `wanted` (event_id).
 
-    `wanted` is counted and its bucket numbers are collected, so it should be a table or a small result.
+    `wanted` is counted and its bucket numbers are collected, so it should be a table or a small result, with each
+    id once.
     """
-    ids = wanted.select("event_id").filter("event_id IS NOT NULL").distinct()
+    ids = wanted.select("event_id").filter("event_id IS NOT NULL")
     few = [r.event_id for r in ids.limit(PUSHED_IDS + 1).collect()]
     out = spark.createDataFrame([], "event_id string, part string, epoch_ms long, is_good boolean")
     by_count: dict[int, list[Entry]] = {}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from usagelens.functions.joins import hint_if_small
+from usagelens.functions.joins import BROADCAST_ROWS, hint_if_small
 from usagelens.operators import facts, parse
 from usagelens.schemas import TYPED_EVENT
 from usagelens.session import scratch_path
@@ -35,10 +35,36 @@ def one_per_id(events: DataFrame) -> DataFrame:
     return once.unionByName(events.filter("event_id IS NULL").select(*columns))
 
 
-def loaded_before(delta: DataFrame, root: str, log: Log) -> DataFrame:
+def staged_once(delta: DataFrame, staged: str) -> tuple[DataFrame, DataFrame]:
+    """`one_per_id` of `delta` and its ids (event_id, n), from tables below `staged`; `delta` is computed once.
+
+    Ids are counted apart from their rows, so that the rows of ids that come once, most of them as a rule, are
+    neither sorted nor shuffled.
+    """
+    spark = delta.sparkSession
+    delta.select(*TYPED_EVENT.fieldNames()).write.parquet(f"{staged}/rows")
+    rows = spark.read.schema(TYPED_EVENT).parquet(f"{staged}/rows")
+    counted = rows.filter("event_id IS NOT NULL").groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    counted.write.parquet(f"{staged}/ids")
+    ids = spark.read.parquet(f"{staged}/ids")
+    repeated = ids.filter("n > 1").select(F.col("event_id").alias("__id"))
+    found = repeated.limit(BROADCAST_ROWS + 1).count()
+    if not found:
+        return rows, ids
+    if found <= BROADCAST_ROWS:
+        same, repeated = F.col("event_id") == F.col("__id"), F.broadcast(repeated)
+        many = one_per_id(rows.join(repeated, same, "left_semi"))
+        once = rows.join(repeated, same, "left_anti").unionByName(many)
+    else:
+        once = one_per_id(rows)
+    once.write.parquet(f"{staged}/once")
+    return spark.read.schema(TYPED_EVENT).parquet(f"{staged}/once"), ids
+
+
+def loaded_before(delta: DataFrame, root: str, log: Log, ids: DataFrame) -> DataFrame:
     """(event_id, any_good, same_time, good_parts) for the ids of `delta` that are loaded; replaced events do not count."""
     spark = delta.sparkSession
-    found = idindex.looked_up(spark, root, log, delta)
+    found = idindex.looked_up(spark, root, log, ids)
     if removals := log.of(log.version, "removed"):
         gone = read_folders(spark, root, removals, REMOVED).select("event_id", F.col("old_part").alias("part"), F.lit(True).alias("is_good"))
         found = found.join(hint_if_small(gone), ["event_id", "part", "is_good"], "left_anti")
@@ -77,10 +103,9 @@ def incremental_upsert(
     log = idindex.brought_up(spark, root, log)
     log = brought_up(spark, root, *sides, log=log)
     staged, version = scratch_path(spark, "delta"), log.version
-    one_per_id(delta).write.parquet(f"{staged}/rows")  # parsed once
     try:
-        once = spark.read.schema(TYPED_EVENT).parquet(f"{staged}/rows")
-        loaded_before(once, root, log).write.parquet(f"{staged}/known")
+        once, ids = staged_once(delta, staged)
+        loaded_before(once, root, log, ids).write.parquet(f"{staged}/known")
         known = spark.read.parquet(f"{staged}/known").withColumnRenamed("event_id", "__id")
         judged = once.join(known, F.col("event_id") == F.col("__id"), "left")
         is_new = F.col("__id").isNull() | ~is_bad() & ~F.col("same_time")
