@@ -218,6 +218,21 @@ def test_a_stream_without_repeats_fills_the_star_like_one_load(spark, tmp_path):
     assert max(states) <= 10
 
 
+def test_a_stream_with_state_writes_few_files(spark, tmp_path):
+    logs, root = tmp_path / "logs", tmp_path / "star"
+    logs.mkdir()
+    (logs / "a.jsonl").write_text("\n".join(line(request(i, T0 + i)) for i in range(60)) + "\n")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        lines = ingest.stream_lines(spark, str(logs))
+        ingest.stream_ingest(lines, str(root), str(tmp_path / "ckpt"), lateness="1 hour").awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+    # not one from each of the state's tasks
+    assert len(list(root.glob("versions/*/events/part=*/table=fact_api_requests/**/*.parquet"))) == 1
+    assert star.read_star(spark, str(root)).fact_api_requests.count() == 60
+
+
 @pytest.mark.parametrize("most", [0, 100])
 def test_only_rows_of_repeated_ids_are_sorted_out(spark, tmp_path, monkeypatch, most):
     no_id = [{**request(8), "id": None}, {**request(8), "id": None}]

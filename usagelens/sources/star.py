@@ -67,10 +67,18 @@ def write_events(
     The rebalance hint lets adaptive execution cut large partitions and join small ones, so a hot
     day or table is spread over tasks and files come out at a sensible size. The counts are observed in the tasks
     that write, after that shuffle: of a task that runs again only the run that finishes counts.
+
+    Spark turns adaptive execution off in the session of a stream with state, where the hint would do nothing and
+    each task would write a file into every directory; it is on for this write.
     """
-    seen = Observation()
-    balanced = events.hint("rebalance", *partition_by).observe(seen, *counters())
-    balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    seen, conf, adaptive = Observation(), events.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(adaptive)
+    conf.set(adaptive, "true")  # before the hint, which is dropped at once where it can do nothing
+    try:
+        balanced = events.hint("rebalance", *partition_by).observe(seen, *counters())
+        balanced.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.set(adaptive, before)
     return {name: int(n or 0) for name, n in seen.get.items()}
 
 
